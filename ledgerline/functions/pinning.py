@@ -56,8 +56,7 @@ def clear_pins(spark: SparkSession) -> None:
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes Spark may broadcast in this session; negative means none."""
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def fits_broadcast(df: DataFrame, rows: int) -> bool:
