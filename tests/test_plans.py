@@ -1,0 +1,296 @@
+"""What Spark does with the operators: pruning, pushdown, shuffles and skew."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline import (
+    active_descriptions,
+    at_entity_maximum,
+    batch_periods,
+    eligible_batches,
+    latest_balances,
+    latest_batch_report,
+    latest_batches,
+    newest_covered_periods,
+    refresh_batch_periods,
+    source_code,
+    with_entity_maximum,
+)
+from ledgerline.plans import registry
+from tests.edge_rows import SCHEMAS
+
+SMALL = "/root/testdata/sf0.001"
+ROWS = 600_000
+
+
+def final_plan(df):
+    """The plan after Spark has adapted it to the data."""
+    executed = df._jdf.queryExecution().executedPlan()
+    executed.execute().count()
+    return executed.toString().split("== Initial Plan ==")[0]
+
+
+def split_joins(df):
+    """How many joins had a skewed partition split."""
+    return len(re.findall(r"SortMergeJoin\(skew=true\)", final_plan(df)))
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """Tables in which one batch, record or entity holds a third of all rows."""
+    folder = tmp_path_factory.mktemp("skewed")
+    third = F.col("id") % 3 == 0
+    day = F.date_add(F.lit("2024-01-01"), (F.col("id") % 300).cast("int"))
+    ids = spark.range(0, ROWS, 1, 16)
+
+    def hot(value, otherwise):
+        return F.when(third, value).otherwise(otherwise)
+
+    def save(name, frame):
+        path = str(folder / name)
+        frame.select(
+            *(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name.split("-")[0]])
+        ).write.parquet(path)
+        return spark.read.schema(SCHEMAS[name.split("-")[0]]).parquet(path)
+
+    batch_id = F.col("id")
+    batches = ids.select(
+        batch_id.alias("batch_id"),
+        hot(7, F.col("id") % 1000).alias("entity_id"),
+        day.alias("period_date"),
+        F.lit(None).alias("cancelled_at"),
+        F.lit(8).alias("source_type"),
+        F.format_string("f%07d.csv", (F.col("id") * 7919) % ROWS).alias("file_name"),
+    )
+    # A third of the rows are of another source and share one batch id.
+    third_of_ids = F.col("batch_id") % 3 == 0
+    shared = batches.withColumns(
+        {
+            "batch_id": F.when(third_of_ids, 1).otherwise(F.col("batch_id")),
+            "source_type": F.when(third_of_ids, 3).otherwise(8),
+        }
+    )
+    scattered = F.pmod(F.xxhash64("id"), F.lit(ROWS))
+    by_batch = ids.select(
+        hot(3, scattered).alias("batch_id"),
+        (F.col("id") % 1000).alias("person_id"),
+        F.lit(1).alias("balance_id"),
+        day.alias("period_date"),
+    )
+    by_record = ids.select(
+        F.col("id").alias("batch_id"),
+        hot(3, scattered).alias("person_id"),
+        F.lit(1).alias("balance_id"),
+        day.alias("period_date"),
+    )
+    # The hot record is hot here too, as copies.
+    microfinance = ids.select(
+        hot(3, F.col("id")).alias("person_id"),
+        F.lit(1).alias("balance_id"),
+        hot(7, F.pmod(F.xxhash64("id"), F.lit(3))).alias("entity_id"),
+    )
+    entities = ids.select(
+        hot(7, F.col("id") % 1000).alias("entity_id"),
+        F.format_string("E-%d", F.col("id")).alias("description"),
+        F.lit(1).alias("status"),
+    )
+    return {
+        "batches": save("load_batches", batches),
+        "shared": save("load_batches-shared", shared),
+        "by_batch": save("general_balances-batch", by_batch),
+        "by_record": save("general_balances-record", by_record),
+        "microfinance": save("microfinance_balances", microfinance),
+        "entities": save("entity_sources", entities),
+        "codes": save(
+            "source_codes", spark.sql("SELECT 'DELINQUENCY' AS name, 8 AS code")
+        ),
+    }
+
+
+@pytest.fixture
+def small_partitions(conf):
+    """Splits partitions of the size that the skewed tables have."""
+    with conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="64",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+    ):
+        yield
+
+
+def total(df):
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(df.columns)]
+    return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns))).first()
+
+
+def test_a_hot_entity_is_split(skewed, small_partitions):
+    eligible = eligible_batches(skewed["batches"], 8)
+    assert split_joins(with_entity_maximum(eligible)) == 1
+
+
+def test_a_hot_entity_at_its_newest_period_is_split(skewed, small_partitions):
+    one_day = skewed["batches"].withColumn("period_date", F.lit("2024-01-31").cast("date"))
+    kept = at_entity_maximum(eligible_batches(one_day, 8))
+    assert split_joins(kept) == 1
+    assert kept.count() == ROWS
+
+
+def test_a_hot_batch_is_split_when_its_balances_are_listed(skewed, small_partitions):
+    latest = skewed["batches"].select("entity_id", "batch_id")
+    assert split_joins(latest_balances(latest, skewed["by_batch"])) == 1
+
+
+def test_a_hot_entity_with_many_descriptions_is_split(skewed, small_partitions):
+    latest = latest_batches(skewed["batches"], 8)
+    assert split_joins(active_descriptions(latest, skewed["entities"])) == 1
+
+
+def test_a_hot_batch_is_split_in_the_refresh(skewed, small_partitions):
+    found = newest_covered_periods(
+        skewed["batches"], skewed["by_batch"], skewed["microfinance"]
+    )
+    assert split_joins(found) >= 1
+
+
+def test_a_hot_record_is_split_in_the_refresh(skewed, small_partitions):
+    found = newest_covered_periods(
+        skewed["batches"], skewed["by_record"], skewed["microfinance"]
+    )
+    assert split_joins(found) == 1
+
+
+def test_a_hot_batch_is_split_when_periods_are_replaced(skewed, small_partitions):
+    refreshed = refresh_batch_periods(
+        skewed["shared"],
+        skewed["by_record"],
+        skewed["microfinance"],
+        skewed["codes"],
+        "DELINQUENCY",
+    )
+    assert split_joins(refreshed) == 1
+    assert refreshed.count() == ROWS
+
+
+def test_skew_changes_no_result(skewed, small_partitions, conf):
+    tables = skewed["batches"], skewed["by_record"], skewed["microfinance"]
+    split = total(newest_covered_periods(*tables))
+    with conf(spark__sql__autoBroadcastJoinThreshold="1GB"):
+        assert total(newest_covered_periods(*tables)) == split
+    plain = (
+        skewed["by_record"]
+        .join(skewed["batches"].select("batch_id", "entity_id"), "batch_id")
+        .join(
+            skewed["microfinance"].distinct(),
+            ["person_id", "balance_id", "entity_id"],
+        )
+        .groupBy("batch_id", "entity_id")
+        .agg(F.max("period_date").alias("period_date"))
+    )
+    assert total(plain) == split
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.usefixtures("each_size")
+def test_no_query_uses_windows_products_or_python(spark, name):
+    plan = final_plan(registry.queries()[name](spark, SMALL))
+    for step in ("Window", "CartesianProduct", "NestedLoop", "Python", "Pandas"):
+        assert step not in plan
+
+
+def _scans(plan):
+    return re.findall(r"FileScan parquet \[(.*?)\].*?PushedFilters: \[(.*?)\]", plan)
+
+
+def _columns(scan):
+    return {re.sub(r"#\d+L?", "", column) for column in scan[0].split(",")}
+
+
+def test_a_looked_up_source_code_reaches_the_scan_of_batches(skewed):
+    code = source_code(skewed["codes"], "DELINQUENCY")
+    plan = final_plan(eligible_batches(skewed["batches"], code))
+    assert "EqualTo(source_type,ScalarSubquery" in plan
+
+
+def test_filters_and_columns_reach_the_scan_of_batches(skewed):
+    (scan,) = _scans(final_plan(latest_batches(skewed["batches"], 8, entity=50)))
+    assert _columns(scan) == set(SCHEMAS["load_batches"].names)
+    for condition in (
+        "IsNull(cancelled_at)",
+        "EqualTo(source_type,8)",
+        "EqualTo(entity_id,50)",
+        "IsNotNull(period_date)",
+    ):
+        assert condition in scan[1]
+
+
+def test_report_reads_two_columns_of_balances_and_filters_before_shuffling(skewed):
+    plan = final_plan(
+        latest_batch_report(
+            skewed["batches"].where("entity_id < 50"),
+            skewed["by_batch"],
+            skewed["entities"],
+            skewed["codes"],
+            "DELINQUENCY",
+        )
+    )
+    balances = [s for s in _scans(plan) if _columns(s) == {"batch_id", "period_date"}]
+    assert len(balances) == 1
+    # The semi-join is below the partial aggregate and its shuffle.
+    assert re.search(
+        r"hashpartitioning\(batch_id#\d+L, 8\).*\n"
+        r".*HashAggregate\(keys=\[batch_id#\d+L\], functions=\[partial_max.*\n"
+        r".*BroadcastHashJoin .* LeftSemi",
+        plan,
+    )
+
+
+def test_one_entity_report_reads_only_that_entity(skewed):
+    plan = final_plan(
+        latest_batch_report(
+            skewed["batches"],
+            skewed["by_record"],
+            skewed["entities"],
+            skewed["codes"],
+            "DELINQUENCY",
+            entity=50,
+        )
+    )
+    (entities,) = [s for s in _scans(plan) if "description" in _columns(s)]
+    assert "EqualTo(entity_id,50)" in entities[1]
+    assert "EqualTo(status,1)" in entities[1]
+
+
+def test_small_batch_tables_spare_the_shuffle_of_balances(skewed, conf):
+    tables = skewed["batches"], skewed["by_record"], skewed["microfinance"]
+    with conf(spark__sql__autoBroadcastJoinThreshold="1GB"):
+        plan = final_plan(newest_covered_periods(*tables))
+    assert not re.search(r"Exchange hashpartitioning\(batch_id#\d+L, 8\)", plan)
+    assert "partial_max" in plan
+
+
+def test_latest_batches_take_one_shuffle(skewed):
+    plan = final_plan(latest_batches(skewed["batches"], 8))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_refreshed_table_is_not_shuffled_for_a_small_source(spark, edge, skewed):
+    refreshed = refresh_batch_periods(*edge.refresh, "DELINQUENCY")
+    plan = final_plan(refreshed)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_refresh_source_joins_the_stored_periods(skewed, small_partitions):
+    plan = final_plan(
+        batch_periods(
+            skewed["batches"],
+            skewed["by_record"],
+            skewed["microfinance"],
+            skewed["codes"],
+            "DELINQUENCY",
+        )
+    )
+    assert plan.count("SortMergeJoin") == 1
+    assert {"person_id"}.isdisjoint(*(_columns(scan) for scan in _scans(plan)))
