@@ -29,7 +29,7 @@ def final_plan(df):
     """The plan after Spark has adapted it to the data."""
     executed = df._jdf.queryExecution().executedPlan()
     executed.execute().count()
-    return executed.toString().split("== Initial Plan ==")[0]
+    return executed.toString().split("\n+- == Initial Plan ==")[0]
 
 
 def split_joins(df):
