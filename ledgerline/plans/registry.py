@@ -5,14 +5,14 @@ correlated subqueries; the operators compute it with grouping and semi-joins.
 """
 
 from collections.abc import Callable
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions.lookups import source_code
-from ledgerline.functions.pinning import pin
 from ledgerline.operators import latest, refresh, report
 from ledgerline.plans.refresh_report import refresh_then_report
-from ledgerline.plans.standin import SOURCE_NAME, read_views, with_views
+from ledgerline.plans.standin import SOURCE_NAME, read_view, with_views
 
 # The entity that the one-entity report asks for.
 ENTITY = 50
@@ -24,13 +24,31 @@ class _Views:
     """The views of one folder, with the arguments the operators take."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        views = read_views(spark, sf_dir)
-        self.batches = views["load_batches"]
-        self.balances = views["general_balances"]
-        self.microfinance = views["microfinance_balances"]
-        self.entities = views["entity_sources"]
-        # A few rows found by a scan of the orders; looked up in every step.
-        self.codes = pin(views["source_codes"]).df
+        self._read = partial(read_view, spark, sf_dir)
+
+    @cached_property
+    def batches(self) -> DataFrame:
+        return self._read("load_batches")
+
+    @cached_property
+    def balances(self) -> DataFrame:
+        return self._read("general_balances")
+
+    @cached_property
+    def microfinance(self) -> DataFrame:
+        return self._read("microfinance_balances")
+
+    @cached_property
+    def entities(self) -> DataFrame:
+        return self._read("entity_sources")
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        return self._read("source_codes")
+
+    @property
+    def batch_sources(self) -> DataFrame:
+        return self._read("batch_sources")
 
     @property
     def eligible(self) -> DataFrame:
@@ -61,8 +79,8 @@ class _Views:
 
 _QUERIES: dict[str, Callable[[_Views], DataFrame]] = {
     "source_code_lookup": lambda v: v.codes.select(
-        source_code(v.codes, SOURCE_NAME).alias("code")
-    ).distinct(),
+        source_code(v.batch_sources, SOURCE_NAME).alias("code")
+    ),
     "scan_eligible_batches": lambda v: v.eligible,
     "max_period_per_entity": lambda v: latest.with_entity_maximum(v.eligible),
     "latest_period_batches": lambda v: latest.at_entity_maximum(v.eligible),
@@ -147,7 +165,8 @@ _REFRESHED = f"""
           FROM load_batches b LEFT JOIN ({_SOURCE}) s ON s.batch_id = b.batch_id"""
 
 _ORACLE: dict[str, str] = {
-    "source_code_lookup": f"SELECT {_CODE} AS code",
+    "source_code_lookup": f"""
+        SELECT code FROM batch_sources WHERE name = '{SOURCE_NAME}'""",
     "scan_eligible_batches": f"""
         SELECT batch_id, entity_id, period_date, file_name
           FROM load_batches

@@ -1,4 +1,4 @@
-"""The five input tables as views over the TPC-H-like test tables.
+"""The input tables as views over the TPC-H-like test tables.
 
 Each view is one SELECT that both Spark and DuckDB run; `{orders}` and the like
 stand for the test tables.
@@ -42,8 +42,10 @@ VIEWS: dict[str, str] = {
                    AS description,
                CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS status
           FROM {customer}""",
-    # The sources that the batches come from, each name once.
     "source_codes": """
+        SELECT * FROM (VALUES ('DELINQUENCY', 8)) AS listed(name, code)""",
+    # The sources that the batches come from, each name once.
+    "batch_sources": """
         SELECT DISTINCT
                CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
                     THEN 'DELINQUENCY' ELSE 'OTHER' END AS name,
@@ -52,18 +54,25 @@ VIEWS: dict[str, str] = {
           FROM {orders}""",
 }
 
-_TEST_TABLES = ("orders", "lineitem", "customer")
+# The columns that the views read.
+_TEST_TABLES = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, "
+    "l_linenumber INT, l_shipdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_acctbal DOUBLE, c_mktsegment STRING",
+}
 
 
-def read_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The views over the Parquet files in `sf_dir`."""
+def read_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One view over the Parquet files in `sf_dir`."""
+    text = VIEWS[name]
     tables = {
-        name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in _TEST_TABLES
-    }
-    return {
-        view: spark.sql(text, **{n: t for n, t in tables.items() if f"{{{n}}}" in text})
-        for view, text in VIEWS.items()
+        table: spark.read.schema(columns).parquet(f"{sf_dir}/{table}.parquet")
+        for table, columns in _TEST_TABLES.items()
+        if f"{{{table}}}" in text
     }
+    return spark.sql(text, **tables)
 
 
 def with_views(query: str) -> str:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline import batch_periods, latest_batch_report, latest_batches
-from ledgerline.plans.standin import SOURCE_NAME, read_views
+from ledgerline.plans.standin import SOURCE_NAME, read_view
+from ledgerline.sources.tables import TABLES
 from tests.conftest import arguments
 
 SF = "/root/testdata/sf0.01"
@@ -13,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def views(spark):
-    return arguments(read_views(spark, SF))
+    return arguments({name: read_view(spark, SF, name) for name in TABLES})
 
 
 def _window_latest(batches):
