@@ -1,25 +1,16 @@
-"""A join that stays splittable when one of its inputs was aggregated."""
+"""Grouping one side of a join so that the join stays splittable."""
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def splittable_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str
-) -> DataFrame:
-    """Equi-join in which AQE can split the partition of a hot key.
+def apart(*keys: str) -> list[str | Column]:
+    """Grouping keys for a table that is joined on `keys` afterwards.
 
-    AQE splits a skewed partition only where both inputs come straight from a
-    shuffle. An input that was grouped by the join keys is already partitioned
-    by them, so Spark adds no shuffle and the aggregate stands in between. A
-    further key derived from the others makes Spark shuffle for the join itself.
+    They make the same groups as `keys` but another partitioning. AQE splits the
+    partition of a hot key only where both sides of a join come straight from a
+    shuffle. A side grouped by the join keys themselves is already partitioned by
+    them, so Spark adds no shuffle, the aggregate stands in between, and a hot
+    key of the other side stays in one task.
     """
-    key = "join_hash"
-    hashed = F.xxhash64(*on)
-    return (
-        left.withColumn(key, hashed)
-        .join(right.withColumn(key, hashed), [key, *on], how)
-        .drop(key)
-    )
+    return [*keys, F.xxhash64(*keys).alias("group_hash")]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.joins import splittable_join
+from ledgerline.functions.joins import apart
 from ledgerline.functions.lookups import source_code
 from ledgerline.functions.pinning import fits_broadcast, pin
 
@@ -160,7 +160,7 @@ def _covered_balances(
         keys = F.broadcast(keys)
     owned = balances.join(keys, "batch_id")
     record = ["person_id", "balance_id", "entity_id"]
-    confirmed = microfinance.select(record).distinct()
-    return splittable_join(owned, confirmed, record, "left_semi").select(
+    confirmed = microfinance.select(*apart(*record)).distinct().select(record)
+    return owned.join(confirmed, record, "left_semi").select(
         "batch_id", "entity_id", "period_date"
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.joins import splittable_join
+from ledgerline.functions.joins import apart
 from ledgerline.functions.lookups import source_code
 from ledgerline.functions.pinning import Pinned, pin
 from ledgerline.operators.latest import latest_batches
@@ -64,20 +64,18 @@ def latest_batch_report(
 
 def _with_global_period(latest: Pinned, balances: DataFrame) -> DataFrame:
     """Add the newest balance period to latest batches that have balances."""
-
-    def newest(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("batch_id").agg(
-            F.max("period_date").alias("global_period")
-        )
-
+    newest = F.max("period_date").alias("global_period")
     if latest.small:
         # Balances of other batches are dropped before anything is shuffled. What
         # remains has at most one row per latest batch.
         wanted = F.broadcast(latest.df.select("batch_id"))
-        found = newest(balances.join(wanted, "batch_id", "left_semi"))
-        return latest.df.join(F.broadcast(found), "batch_id")
-    # Reduced to one row per batch first, so that no batch is too big for a task.
-    return splittable_join(latest.df, newest(balances), ["batch_id"], "inner")
+        found = balances.join(wanted, "batch_id", "left_semi")
+        found = F.broadcast(found.groupBy("batch_id").agg(newest))
+    else:
+        # Reduced to one row per batch first, so that no batch is too big for a task.
+        found = balances.groupBy(*apart("batch_id")).agg(newest)
+        found = found.select("batch_id", "global_period")
+    return latest.df.join(found, "batch_id")
 
 
 def _describe(latest: DataFrame, small: bool, entities: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from ledgerline import (
     at_entity_maximum,
     batch_periods,
     eligible_batches,
+    global_periods,
     latest_balances,
     latest_batch_report,
     latest_batches,
@@ -143,6 +144,15 @@ def test_a_hot_batch_is_split_when_its_balances_are_listed(skewed, small_partiti
     assert split_joins(latest_balances(latest, skewed["by_batch"])) == 1
 
 
+def test_a_batch_that_is_the_latest_of_many_entities_is_split(
+    spark, skewed, small_partitions
+):
+    entity = F.col("id").alias("entity_id")
+    batch = F.when(F.col("id") % 3 == 0, 3).otherwise(F.col("id")).alias("batch_id")
+    latest = spark.range(0, ROWS, 1, 16).select(entity, batch)
+    assert split_joins(global_periods(latest, skewed["by_batch"])) == 1
+
+
 def test_a_hot_entity_with_many_descriptions_is_split(skewed, small_partitions):
     latest = latest_batches(skewed["batches"], 8)
     assert split_joins(active_descriptions(latest, skewed["entities"])) == 1
