@@ -42,7 +42,11 @@ def batch_periods_sql(
     codes: DataFrame,
     source_name: str,
 ) -> DataFrame:
-    """`batch_periods` with the period as a correlated subquery in Spark SQL."""
+    """`batch_periods` with the period as a correlated subquery in Spark SQL.
+
+    Spark groups and joins by (batch, entity) here without a shuffle in between,
+    so a batch row repeated very often stays in one task; `batch_periods` splits it.
+    """
     own = _of_source(batches, codes, source_name)
     return own.sparkSession.sql(
         """
@@ -153,7 +157,8 @@ def _covered_balances(
     (person, balance, entity), a semi-join that adds no row, where a join on
     (person, balance) alone would pair every batch of that key with every entity.
 
-    `rows` is the number of rows of `batches`.
+    A balance is repeated for each entity that shares its batch id, of which the
+    refresh allows one. `rows` is the number of rows of `batches`.
     """
     keys = batches.select("batch_id", "entity_id").distinct()
     if fits_broadcast(keys, rows):

@@ -1,7 +1,7 @@
 """The registered queries, and SQL that gives the same rows in DuckDB.
 
-The SQL says what the operators mean in the plainest way, with windows and
-correlated subqueries; the operators compute it with grouping and semi-joins.
+The SQL says what the operators mean in the plainest way, with ranks and full
+joins; the operators compute it with maxima of pairs and semi-joins.
 """
 
 from collections.abc import Callable
@@ -124,38 +124,49 @@ def _eligible(table: str, entity: int | None = None) -> str:
     only = f" AND entity_id = {entity}" if entity is not None else ""
     return f"""
         SELECT batch_id, entity_id, period_date, file_name,
-               max(period_date) OVER (PARTITION BY entity_id) AS max_period
+               rank() OVER (PARTITION BY entity_id
+                            ORDER BY period_date DESC NULLS LAST) AS place
           FROM {table}
          WHERE cancelled_at IS NULL AND source_type = {_CODE}{only}"""
 
 
+def _newest(table: str, entity: int | None = None) -> str:
+    return f"""
+        SELECT batch_id, entity_id, period_date, file_name
+          FROM ({_eligible(table, entity)})
+         WHERE place = 1 AND period_date IS NOT NULL"""
+
+
 def _latest(table: str, entity: int | None = None) -> str:
     return f"""
         SELECT entity_id, max(batch_id) AS batch_id, max(file_name) AS file_name
-          FROM ({_eligible(table, entity)}) WHERE period_date = max_period
-         GROUP BY entity_id"""
+          FROM ({_newest(table, entity)}) GROUP BY entity_id"""
 
 
 def _report(table: str, entity: int | None = None) -> str:
     return f"""
-        SELECT DISTINCT l.entity_id, e.description,
-               max(g.period_date) OVER (PARTITION BY l.entity_id) AS global_period,
+        SELECT l.entity_id, e.description, max(g.period_date) AS global_period,
                l.file_name, l.batch_id
           FROM ({_latest(table, entity)}) l
           JOIN general_balances g ON g.batch_id = l.batch_id
-          JOIN entity_sources e ON e.entity_id = l.entity_id AND e.status = 1
-         ORDER BY l.entity_id"""
+          JOIN entity_sources e ON e.entity_id = l.entity_id
+         WHERE e.status = 1
+         GROUP BY l.entity_id, e.description, l.file_name, l.batch_id
+         ORDER BY l.entity_id, e.description"""
+
 
+_COVERED = """
+        SELECT g.batch_id, m.entity_id, max(g.period_date) AS period_date
+          FROM general_balances g
+          JOIN microfinance_balances m USING (person_id, balance_id)
+         GROUP BY g.batch_id, m.entity_id"""
 
 _SOURCE = f"""
-        SELECT b.batch_id,
-               (SELECT max(g.period_date)
-                  FROM general_balances g
-                  JOIN microfinance_balances m
-                    ON m.person_id = g.person_id AND m.balance_id = g.balance_id
-                 WHERE g.batch_id = b.batch_id AND m.entity_id = b.entity_id
-               ) AS period_date
-          FROM load_batches b WHERE b.source_type = {_CODE}"""
+        SELECT b.batch_id, c.period_date
+          FROM load_batches b
+          LEFT JOIN ({_COVERED}) c
+            ON c.batch_id = b.batch_id AND c.entity_id = b.entity_id
+         WHERE b.source_type = {_CODE}"""
 
 _REFRESHED = f"""
         SELECT b.batch_id, b.entity_id,
@@ -172,35 +183,32 @@ _ORACLE: dict[str, str] = {
           FROM load_batches
          WHERE cancelled_at IS NULL AND source_type = {_CODE}""",
     "max_period_per_entity": f"""
-        SELECT batch_id, entity_id, period_date, max_period
+        SELECT batch_id, entity_id, period_date,
+               first_value(period_date) OVER (PARTITION BY entity_id
+                                              ORDER BY place) AS max_period
           FROM ({_eligible("load_batches")})""",
-    "latest_period_batches": f"""
-        SELECT batch_id, entity_id, period_date, file_name
-          FROM ({_eligible("load_batches")}) WHERE period_date = max_period""",
+    "latest_period_batches": _newest("load_batches"),
     "latest_batch_per_entity": _latest("load_batches"),
     "join_batch_balances": f"""
         SELECT l.entity_id, l.batch_id, g.person_id, g.balance_id, g.period_date
           FROM ({_latest("load_batches")}) l
           JOIN general_balances g ON g.batch_id = l.batch_id""",
     "global_period_by_entity": f"""
-        SELECT DISTINCT l.entity_id, l.batch_id,
-               max(g.period_date) OVER (PARTITION BY l.entity_id) AS global_period
+        SELECT l.entity_id, l.batch_id, max(g.period_date) AS global_period
           FROM ({_latest("load_batches")}) l
-          JOIN general_balances g ON g.batch_id = l.batch_id""",
+          JOIN general_balances g ON g.batch_id = l.batch_id
+         GROUP BY l.entity_id, l.batch_id""",
     "active_entity_join": f"""
         SELECT DISTINCT l.entity_id, l.batch_id, e.description
           FROM ({_latest("load_batches")}) l
           JOIN entity_sources e ON e.entity_id = l.entity_id AND e.status = 1""",
     "latest_batch_report": _report("load_batches"),
     "latest_batch_report_one": _report("load_batches", ENTITY),
-    "balances_in_microfinance": """
-        SELECT b.batch_id, b.entity_id, max(g.period_date) AS period_date
-          FROM load_batches b
-          JOIN general_balances g ON g.batch_id = b.batch_id
-          JOIN microfinance_balances m
-            ON m.person_id = g.person_id AND m.balance_id = g.balance_id
-           AND m.entity_id = b.entity_id
-         GROUP BY b.batch_id, b.entity_id""",
+    "balances_in_microfinance": f"""
+        SELECT c.batch_id, c.entity_id, c.period_date
+          FROM ({_COVERED}) c
+          JOIN (SELECT DISTINCT batch_id, entity_id FROM load_batches) b
+            ON b.batch_id = c.batch_id AND b.entity_id = c.entity_id""",
     "refresh_source": _SOURCE,
     "refresh_source_correlated": _SOURCE,
     "refresh_merged_table": _REFRESHED,
