@@ -147,8 +147,10 @@ SQL = """
                          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
     targets AS (
         SELECT no_source, name, source_size,
-               least(cap, weight * (SELECT min(level) FROM filled f
-                                     WHERE f.level * f.weight < f.cap)) AS target
+               least(cap, weight * (SELECT level FROM filled f
+                                     WHERE f.level * f.weight < f.cap
+                                     ORDER BY source_size / weight, no_source, name
+                                     LIMIT 1)) AS target
           FROM filled),
     placed AS (
         SELECT d.*, t.source_size, t.target,
