@@ -1,11 +1,12 @@
 """The registered queries of the text operators, and their SQL for DuckDB."""
 
-from ledgerline.llm import line_dedup, mixing, sharding, simhash
+from ledgerline.llm import line_dedup, mixing, sharding, simhash, toxicity
 
 QUERIES = {
     "op3_sharding": sharding.query,
     "op4_line_dedup": line_dedup.query,
     "op5_mixing": mixing.query,
+    "op8_toxicity": toxicity.query,
     "op10_simhash": simhash.query,
 }
 
