@@ -40,6 +40,10 @@ _SPACED = re.compile(r"\b[^\W\d_](?:[ .\-_*][^\W\d_]){3,}\b")
 _SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 _RUN_OF_MARKS = re.compile(r"[!?]{2,}")
 
+# Beginnings of words that may be learned as stems, by their length.
+STEM_LENGTHS = (4, 5, 6, 7)
+STEM = "^"
+
 FEATURES = (
     "insults",
     "learned",
@@ -60,12 +64,36 @@ FEATURES = (
 )
 
 
-def features(text: str, weights: dict[str, float], insults: frozenset[str]) -> list[float]:
+class Lexicon(dict):
+    """Weights of words, found on first use: of the word itself or of its stems.
+
+    None means a word that is in no list. What was looked up is kept for the next
+    text, up to a bounded number of words.
+    """
+
+    def __init__(self, weights: dict[str, float], insults: frozenset[str]):
+        super().__init__()
+        self.weights = weights
+        self.insults = insults
+
+    def __missing__(self, word: str) -> float | None:
+        units = [word, *(STEM + word[:k] for k in STEM_LENGTHS if len(word) > k)]
+        found = max((self.weights[u] for u in units if u in self.weights), default=None)
+        if found is None and word in self.insults:
+            found = 0.0
+        if len(self) > 200_000:
+            self.clear()
+        self[word] = found
+        return found
+
+
+def features(text: str, lexicon: Lexicon) -> list[float]:
     """The features named in FEATURES; densities are per word or per character."""
     words = _WORD.findall(text.lower())
     if not words:
         return [0.0] * len(FEATURES)
-    known = [(i, weights.get(w, 0.0)) for i, w in enumerate(words) if w in weights or w in insults]
+    insults = lexicon.insults
+    known = [(i, x) for i, x in enumerate(map(lexicon.__getitem__, words)) if x is not None]
     hits = [i for i, _ in known]
     learned = [weight for _, weight in known if weight]
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
@@ -80,7 +108,7 @@ def features(text: str, weights: dict[str, float], insults: frozenset[str]) -> l
     capitals = np.count_nonzero((data >= 65) & (data <= 90))
     disguised = [_undisguise(w) for w in _DISGUISED.findall(text)]
     spaced = [re.sub(r"[^\w]|_", "", w).lower() for w in _SPACED.findall(text)]
-    found = [w for w in disguised + spaced if w in weights or w in insults]
+    found = [w for w in disguised + spaced if lexicon[w] is not None]
     n, chars = len(words), max(1, len(text))
     return [
         sum(words[i] in insults for i in hits) / n,
@@ -107,11 +135,10 @@ def _undisguise(word: str) -> str:
 
 
 def _feature_column(text: Column, weights: dict[str, float]) -> Column:
-    insults = frozenset(INSULTS)
-
     @F.arrow_udf("array<double>")
     def compute(texts: pa.Array) -> pa.Array:
-        rows = [features(text.as_py(), weights, insults) for text in texts]
+        lexicon = Lexicon(weights, frozenset(INSULTS))
+        rows = [features(text.as_py(), lexicon) for text in texts]
         flat = np.array(rows, np.float64).reshape(len(rows), len(FEATURES))
         offsets = pa.array(np.arange(len(rows) + 1) * len(FEATURES), pa.int32())
         return pa.ListArray.from_arrays(offsets, pa.array(flat.ravel()))
@@ -166,7 +193,7 @@ def fit(
     `labels` has doc_id and toxic (0 or 1); rows with a null in either are left
     out, and a doc_id labelled twice is toxic if one label says so. About
     `training_rows` documents, chosen by a hash of doc_id, are learned from: a part
-    of them for the lexicon (words that toxic documents hold more often than chance
+    of them for the lexicon (words and stems that more toxic documents hold than chance
     allows, `lexicon_words` at most), another for the trees and a third for the
     calibration, so that none judges what it was made from. Without labels of both
     kinds every score is the share of toxic labels, or 0.
@@ -216,14 +243,23 @@ def _both_kinds(rows: DataFrame) -> bool:
 
 
 def _learn_words(sample: DataFrame, most: int) -> dict[str, float]:
-    """Words that are more frequent in toxic documents, with their log-odds."""
+    """Words and stems that more toxic documents hold, with their log-odds."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
+
+    def units(word: Column) -> Column:
+        stems = [
+            F.when(F.char_length(word) > k, F.concat(F.lit(STEM), F.substring(word, 1, k)))
+            for k in STEM_LENGTHS
+        ]
+        return F.array_compact(F.array(word, *stems))
+
+    units_of = F.array_distinct(F.flatten(F.transform(words, units)))
     sizes = sample.agg(F.coalesce(F.sum("label"), F.lit(0.0)), F.count(F.lit(1))).first()
     toxic, clean = sizes[0], sizes[1] - sizes[0]
     if not toxic or not clean:
         return {}
     counts = (
-        sample.select("label", F.explode(words).alias("word"))
+        sample.select("label", F.explode(units_of).alias("word"))
         .groupBy("word")
         .agg(F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     )
