@@ -1,12 +1,13 @@
 """The registered queries of the text operators, and their SQL for DuckDB."""
 
-from ledgerline.llm import line_dedup, mixing, secrets, sharding, simhash, toxicity
+from ledgerline.llm import imatch, line_dedup, mixing, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op2_secrets": secrets.query,
     "op3_sharding": sharding.query,
     "op4_line_dedup": line_dedup.query,
     "op5_mixing": mixing.query,
+    "op7_imatch": imatch.query,
     "op8_toxicity": toxicity.query,
     "op10_simhash": simhash.query,
 }
