@@ -1,8 +1,9 @@
 """The registered queries of the text operators, and their SQL for DuckDB."""
 
-from ledgerline.llm import imatch, line_dedup, mixing, secrets, sharding, simhash, toxicity
+from ledgerline.llm import decontamination, imatch, line_dedup, mixing, secrets, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_decontamination": decontamination.query,
     "op2_secrets": secrets.query,
     "op3_sharding": sharding.query,
     "op4_line_dedup": line_dedup.query,
