@@ -1,6 +1,6 @@
 """The registered queries of the text operators, and their SQL for DuckDB."""
 
-from ledgerline.llm import decontamination, imatch, line_dedup, mixing, secrets, sharding, simhash, toxicity
+from ledgerline.llm import decontamination, imatch, line_dedup, mixing, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_mixing": mixing.query,
     "op7_imatch": imatch.query,
     "op8_toxicity": toxicity.query,
+    "op9_suffix_dedup": suffix_dedup.query,
     "op10_simhash": simhash.query,
 }
 
