@@ -1,6 +1,6 @@
 """The registered queries of the text operators, and their SQL for DuckDB."""
 
-from ledgerline.llm import decontamination, imatch, line_dedup, mixing, secrets, sharding, simhash, suffix_dedup, toxicity
+from ledgerline.llm import decontamination, imatch, line_dedup, lm_score, mixing, secrets, sharding, simhash, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_sharding": sharding.query,
     "op4_line_dedup": line_dedup.query,
     "op5_mixing": mixing.query,
+    "op6_lm_score": lm_score.query,
     "op7_imatch": imatch.query,
     "op8_toxicity": toxicity.query,
     "op9_suffix_dedup": suffix_dedup.query,
