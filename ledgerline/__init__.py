@@ -1,6 +1,7 @@
 """Batch-load analytics on Spark: latest batches, their report, period refresh."""
 
 from ledgerline.functions.lookups import source_code
+from ledgerline.functions.pinning import clear_pins, pins
 from ledgerline.operators.latest import (
     at_entity_maximum,
     eligible_batches,
@@ -10,7 +11,6 @@ from ledgerline.operators.latest import (
 from ledgerline.operators.refresh import (
     batch_periods,
     batch_periods_sql,
-    merge_batch_periods,
     newest_covered_periods,
     refresh_batch_periods,
 )
@@ -22,14 +22,16 @@ from ledgerline.operators.report import (
 )
 from ledgerline.plans.refresh_report import refresh_then_report
 from ledgerline.sources.tables import conform, load_table
-from ledgerline.sources.versions import VersionedTable
+from ledgerline.sources.versions import StaleVersionError, VersionedTable
 
 __all__ = [
+    "StaleVersionError",
     "VersionedTable",
     "active_descriptions",
     "at_entity_maximum",
     "batch_periods",
     "batch_periods_sql",
+    "clear_pins",
     "conform",
     "eligible_batches",
     "global_periods",
@@ -37,8 +39,8 @@ __all__ = [
     "latest_batch_report",
     "latest_batches",
     "load_table",
-    "merge_batch_periods",
     "newest_covered_periods",
+    "pins",
     "refresh_batch_periods",
     "refresh_then_report",
     "source_code",

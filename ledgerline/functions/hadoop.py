@@ -1,4 +1,4 @@
-"""Listing and deleting folders on whatever file system a path names."""
+"""Files and folders on whatever file system a path names."""
 
 from pyspark.sql import SparkSession
 
@@ -16,11 +16,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(where)]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false when there is one of that name already."""
     files, where = _open(spark, path)
-    return files.exists(where)
+    return files.createNewFile(where)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all in it."""
     files, where = _open(spark, path)
     files.delete(where, True)

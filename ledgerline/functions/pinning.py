@@ -3,26 +3,39 @@
 A pinned result lies in the shared folder that the cluster names in
 `spark.checkpoint.dir`, so a lost executor costs no recomputation of what led
 to it, and its size is known before anything is joined to it.
+
+Pins belong to the `with pins(spark):` block they were made in, else to their
+session. They are deleted with their owner and with nothing else.
 """
 
-import tempfile
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
+from typing import Any
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerline.functions.hadoop import delete_folder
+from ledgerline.functions.hadoop import delete
+
+_block: ContextVar[str | None] = ContextVar("pins_block", default=None)
+_sessions: WeakKeyDictionary[SparkSession, str] = WeakKeyDictionary()
 
 
 @dataclass(frozen=True)
 class Pinned:
-    """A stored result with its measured size."""
+    """A stored result with its measured size, and the bounds of one column."""
 
     df: DataFrame
     rows: int
     bytes: int
+    low: Any = None
+    high: Any = None
 
     @property
     def small(self) -> bool:
@@ -35,28 +48,54 @@ class Pinned:
         return F.broadcast(self.df) if self.small else self.df
 
 
-def pin(df: DataFrame) -> Pinned:
-    """Store `df` in the shared folder and measure it in the same job."""
+@contextmanager
+def pins(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was pinned inside. Use the results inside."""
+    name = uuid.uuid4().hex
+    token = _block.set(name)
+    try:
+        yield
+    finally:
+        _block.reset(token)
+        delete(spark, f"{_application_folder(spark)}/{name}")
+
+
+def clear_pins(spark: SparkSession) -> None:
+    """Delete what this session pinned outside of blocks, once it is used."""
+    if spark in _sessions:
+        delete(spark, f"{_application_folder(spark)}/{_sessions.pop(spark)}")
+
+
+def pin(df: DataFrame, bounds: str | None = None) -> Pinned:
+    """Store `df` in the shared folder and measure it in the same job.
+
+    With `bounds`, the smallest and largest value of that column are measured too.
+    """
     spark = df.sparkSession
-    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
-    seen = Observation()
-    df.observe(
-        seen,
+    path = new_folder(spark)
+    measures = [
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes"),
-    ).write.parquet(path)
+    ]
+    if bounds is not None:
+        measures += [F.min(bounds).alias("low"), F.max(bounds).alias("high")]
+    seen = Observation()
+    df.observe(seen, *measures).write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
-    return Pinned(stored, seen.get["rows"], seen.get["bytes"])
+    return Pinned(stored, **seen.get)
 
 
-def clear_pins(spark: SparkSession) -> None:
-    """Delete what this application pinned. Call it once the results are used."""
-    delete_folder(spark, _application_folder(spark))
+def new_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that is not used yet and goes with its owner's pins."""
+    owner = _block.get() or _sessions.setdefault(spark, uuid.uuid4().hex)
+    return f"{_application_folder(spark)}/{owner}/{uuid.uuid4().hex}"
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes Spark may broadcast in this session; negative means none."""
-    return spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([a-z]*)\s*", text.lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit[0] if unit.rstrip("b") else " ")
 
 
 def fits_broadcast(df: DataFrame, rows: int) -> bool:
@@ -86,13 +125,8 @@ def _application_folder(spark: SparkSession) -> str:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(
-            "set spark.checkpoint.dir to a folder that every executor can reach"
-        )
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        # The warehouse is the other folder that all executors of a cluster reach.
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")

@@ -3,9 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.filters import of_keys, within
 from ledgerline.functions.joins import apart
 from ledgerline.functions.lookups import source_code
-from ledgerline.functions.pinning import fits_broadcast, pin
+from ledgerline.functions.pinning import Pinned, fits_broadcast, pin
+
+
+# Rows that a repeated pair is expanded to in one piece.
+_PIECE = 10_000
 
 
 def newest_covered_periods(
@@ -16,8 +21,7 @@ def newest_covered_periods(
     Only balances of the batch count that also belong to a microfinance record of
     the batch's own entity. A pair with no such balance has no row.
     """
-    covered = _covered_balances(batches, batches.count(), balances, microfinance)
-    return _newest(covered)
+    return _newest(_covered_balances(_pairs(batches), balances, microfinance))
 
 
 def batch_periods(
@@ -29,10 +33,12 @@ def batch_periods(
 ) -> DataFrame:
     """One row per batch of the source: its recomputed period, NULL if none.
 
-    Cancelled batches are included.
+    Cancelled batches are included. Batches are joined as distinct pairs of batch and
+    entity with their number, so a pair or a NULL that is repeated very often is one
+    row in the join. Rows are repeated at the end, in pieces that are dealt out.
     """
-    own = _of_source(batches, codes, source_name)
-    return _periods(own, own.count(), balances, microfinance)
+    own = _pairs(_of_source(batches, codes, source_name))
+    return _repeated(_periods(own, balances, microfinance))
 
 
 def batch_periods_sql(
@@ -44,21 +50,21 @@ def batch_periods_sql(
 ) -> DataFrame:
     """`batch_periods` with the period as a correlated subquery in Spark SQL.
 
-    Spark groups and joins by (batch, entity) here without a shuffle in between,
-    so a batch row repeated very often stays in one task; `batch_periods` splits it.
+    The subquery is evaluated once per distinct pair of batch and entity.
     """
-    own = _of_source(batches, codes, source_name)
-    return own.sparkSession.sql(
+    own = _pairs(_of_source(batches, codes, source_name))
+    found = own.df.sparkSession.sql(
         """
-        SELECT b.batch_id,
+        SELECT b.batch_id, b.number,
                (SELECT max(c.period_date) FROM {covered} c
                  WHERE c.batch_id = b.batch_id AND c.entity_id = b.entity_id
                ) AS period_date
           FROM {own} b
         """,
-        own=own,
-        covered=_covered_balances(own, own.count(), balances, microfinance),
+        own=own.df,
+        covered=_covered_balances(own, balances, microfinance),
     )
+    return _repeated(found)
 
 
 def refresh_batch_periods(
@@ -74,15 +80,16 @@ def refresh_batch_periods(
     period, also when that is NULL and also when the row is of another source
     type. Other rows and columns stay. Fails when the source has a batch id twice.
     """
-    own = _of_source(batches, codes, source_name)
-    rows = _count_unrepeated(own)
+    _require_one_period_type(batches, balances)
+    own = _pairs(_of_source(batches, codes, source_name))
+    _refuse_repeated(own)
     source = (
-        _periods(own, rows, balances, microfinance)
+        _periods(own, balances, microfinance)
         .where(F.col("batch_id").isNotNull())
         .select("batch_id", F.col("period_date").alias("new_period"))
         .withColumn("matched", F.lit(True))
     )
-    if fits_broadcast(source, rows):
+    if fits_broadcast(source, own.rows):
         source = F.broadcast(source)
     period = F.when(F.col("matched"), F.col("new_period")).otherwise(
         F.col("period_date")
@@ -117,31 +124,53 @@ def _of_source(batches: DataFrame, codes: DataFrame, source_name: str) -> DataFr
     )
 
 
-def _count_unrepeated(own: DataFrame) -> int:
-    """Number of rows; raises when a batch id occurs more than once.
+def _require_one_period_type(batches: DataFrame, balances: DataFrame) -> None:
+    kinds = {df.schema["period_date"].dataType for df in (batches, balances)}
+    if len(kinds) > 1:
+        names = sorted(kind.simpleString() for kind in kinds)
+        raise ValueError(f"periods of two types: {' and '.join(names)}")
+
+
+def _pairs(batches: DataFrame) -> Pinned:
+    """The distinct pairs of batch and entity with their number of rows, stored."""
+    counted = batches.groupBy("batch_id", "entity_id").agg(F.count(F.lit(1)).alias("number"))
+    return pin(counted, bounds="batch_id")
 
-    Done before the big join, so that a merge that cannot succeed costs little.
+
+def _refuse_repeated(own: Pinned) -> None:
+    """Raise when a batch id occurs more than once.
+
+    Done before the big join, so that a merge that cannot succeed costs little. NULL
+    never matches a target row, so it may be repeated.
     """
-    per_batch = own.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
-    # NULL never matches a target row, so it may be repeated.
-    repeated = F.when(F.col("n") > 1, F.col("batch_id"))
-    found = per_batch.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.max(repeated).alias("batch")
-    ).first()
-    if found["batch"] is not None:
-        raise ValueError(f"several source rows for batch {found['batch']}")
-    return found["rows"]
-
-
-def _periods(
-    own: DataFrame, rows: int, balances: DataFrame, microfinance: DataFrame
-) -> DataFrame:
-    newest = pin(_newest(_covered_balances(own, rows, balances, microfinance)))
-    return own.join(newest.side, ["batch_id", "entity_id"], "left").select(
-        "batch_id", "period_date"
+    per_batch = own.df.groupBy("batch_id").agg(F.sum("number").alias("rows"))
+    found = per_batch.where("rows > 1 AND batch_id IS NOT NULL").agg(F.max("batch_id")).first()
+    if found[0] is not None:
+        raise ValueError(f"several source rows for batch {found[0]}")
+
+
+def _periods(own: Pinned, balances: DataFrame, microfinance: DataFrame) -> DataFrame:
+    """Batch, period and number of each pair."""
+    newest = pin(_newest(_covered_balances(own, balances, microfinance)))
+    return own.df.join(newest.side, ["batch_id", "entity_id"], "left").select(
+        "batch_id", "period_date", "number"
     )
 
 
+def _repeated(pairs: DataFrame) -> DataFrame:
+    """Every row as often as its `number` says.
+
+    A number is cut into pieces, which are dealt out, before anything is repeated.
+    """
+    starts = F.sequence(F.lit(0), F.col("number") - 1, F.lit(_PIECE))
+    pieces = pairs.select("batch_id", "period_date", "number", F.explode(starts).alias("start"))
+    dealt = pieces.repartition("batch_id", "start")
+    size = F.least(F.col("number") - F.col("start"), F.lit(_PIECE))
+    return dealt.select(
+        "batch_id", "period_date", F.explode(F.sequence(F.lit(1), size)).alias("copy")
+    ).drop("copy")
+
+
 def _newest(covered: DataFrame) -> DataFrame:
     return covered.groupBy("batch_id", "entity_id").agg(
         F.max("period_date").alias("period_date")
@@ -149,21 +178,22 @@ def _newest(covered: DataFrame) -> DataFrame:
 
 
 def _covered_balances(
-    batches: DataFrame, rows: int, balances: DataFrame, microfinance: DataFrame
+    batches: Pinned, balances: DataFrame, microfinance: DataFrame
 ) -> DataFrame:
-    """Balances of `batches` that are microfinance of their batch's entity.
+    """Balances of pairs of batch and entity that are microfinance of the entity.
 
     The batch's entity is attached first. Microfinance then only has to confirm
     (person, balance, entity), a semi-join that adds no row, where a join on
     (person, balance) alone would pair every batch of that key with every entity.
 
     A balance is repeated for each entity that shares its batch id, of which the
-    refresh allows one. `rows` is the number of rows of `batches`.
+    refresh allows one. `batches` holds each pair once.
     """
-    keys = batches.select("batch_id", "entity_id").distinct()
-    if fits_broadcast(keys, rows):
-        keys = F.broadcast(keys)
-    owned = balances.join(keys, "batch_id")
+    keys = batches.df.select("batch_id", "entity_id")
+    if fits_broadcast(keys, batches.rows):
+        owned = within(balances, batches, "batch_id").join(F.broadcast(keys), "batch_id")
+    else:
+        owned = of_keys(balances, batches, "batch_id").join(keys, "batch_id")
     record = ["person_id", "balance_id", "entity_id"]
     confirmed = microfinance.select(*apart(*record)).distinct().select(record)
     return owned.join(confirmed, record, "left_semi").select(

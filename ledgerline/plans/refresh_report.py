@@ -16,17 +16,19 @@ def refresh_then_report(
     source_name: str,
     entity: int | None = None,
     store: VersionedTable | None = None,
+    base: int | None = None,
 ) -> DataFrame:
     """Report on refreshed batches; with `store`, on the version written there.
 
-    The report reads the refreshed table once, so without a store nothing is
-    computed twice.
+    `base` is the version of the store that `batches` was read from; the write is
+    refused if there is a newer one. The report reads the refreshed table once, so
+    without a store nothing is computed twice.
     """
     refreshed = refresh_batch_periods(
         batches, balances, microfinance, codes, source_name
     )
     if store is not None:
-        refreshed = store.read(store.write(refreshed))
+        refreshed = store.read(store.write(refreshed, base))
     return latest_batch_report(
         refreshed, balances, entities, codes, source_name, entity
     )

@@ -8,14 +8,20 @@ from collections.abc import Callable
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.functions.lookups import source_code
+from ledgerline.functions.pinning import new_folder
 from ledgerline.operators import latest, refresh, report
 from ledgerline.plans.refresh_report import refresh_then_report
 from ledgerline.plans.standin import SOURCE_NAME, read_view, with_views
+from ledgerline.schemas import LOAD_BATCHES
+from ledgerline.sources.versions import VersionedTable
 
 # The entity that the one-entity report asks for.
 ENTITY = 50
+# The priority whose code is looked up.
+PRIORITY = "HIGH"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,8 +53,8 @@ class _Views:
         return self._read("source_codes")
 
     @property
-    def batch_sources(self) -> DataFrame:
-        return self._read("batch_sources")
+    def priorities(self) -> DataFrame:
+        return self._read("priority_codes")
 
     @property
     def eligible(self) -> DataFrame:
@@ -78,8 +84,8 @@ class _Views:
 
 
 _QUERIES: dict[str, Callable[[_Views], DataFrame]] = {
-    "source_code_lookup": lambda v: v.codes.select(
-        source_code(v.batch_sources, SOURCE_NAME).alias("code")
+    "source_code_lookup": lambda v: v.priorities.where(
+        F.col("code") == source_code(v.priorities, PRIORITY)
     ),
     "scan_eligible_batches": lambda v: v.eligible,
     "max_period_per_entity": lambda v: latest.with_entity_maximum(v.eligible),
@@ -105,9 +111,19 @@ _QUERIES: dict[str, Callable[[_Views], DataFrame]] = {
     "refresh_then_report": lambda v: refresh_then_report(
         v.batches, v.balances, v.microfinance, v.entities, v.codes, SOURCE_NAME
     ),
+    "stored_refresh": lambda v: _stored_refresh(v),
 }
 
 
+def _stored_refresh(v: _Views) -> DataFrame:
+    """The refreshed table, written as the second version of a store and read back."""
+    spark = v.batches.sparkSession
+    store = VersionedTable(spark, new_folder(spark), LOAD_BATCHES)
+    first = store.write(v.batches, base=None)
+    refreshed = refresh.refresh_batch_periods(store.read(first), *v.refresh_arguments[1:])
+    return store.read(store.write(refreshed, base=first))
+
+
 def queries() -> dict[str, Query]:
     """Every query by name, as a function of the session and the data folder."""
 
@@ -177,7 +193,8 @@ _REFRESHED = f"""
 
 _ORACLE: dict[str, str] = {
     "source_code_lookup": f"""
-        SELECT code FROM batch_sources WHERE name = '{SOURCE_NAME}'""",
+        SELECT name, code FROM priority_codes
+         WHERE code = (SELECT code FROM priority_codes WHERE name = '{PRIORITY}')""",
     "scan_eligible_batches": f"""
         SELECT batch_id, entity_id, period_date, file_name
           FROM load_batches
@@ -214,6 +231,7 @@ _ORACLE: dict[str, str] = {
     "refresh_merged_table": _REFRESHED,
     "refresh_then_report": f"""
         SELECT * FROM ({_report(f"({_REFRESHED})")})""",
+    "stored_refresh": _REFRESHED,
 }
 
 

@@ -44,13 +44,10 @@ VIEWS: dict[str, str] = {
           FROM {customer}""",
     "source_codes": """
         SELECT * FROM (VALUES ('DELINQUENCY', 8)) AS listed(name, code)""",
-    # The sources that the batches come from, each name once.
-    "batch_sources": """
-        SELECT DISTINCT
-               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
-                    THEN 'DELINQUENCY' ELSE 'OTHER' END AS name,
-               CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH')
-                    THEN 8 ELSE 3 END AS code
+    # Codes and names of the priorities that the orders have.
+    "priority_codes": """
+        SELECT DISTINCT substring(o_orderpriority, 3) AS name,
+               CAST(substring(o_orderpriority, 1, 1) AS INT) AS code
           FROM {orders}""",
 }
 

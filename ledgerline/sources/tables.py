@@ -1,8 +1,16 @@
 """Input tables, checked against their declared schemas."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    IntegralType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from ledgerline import schemas
 from ledgerline.functions.lookups import reject_repeated_names
@@ -28,23 +36,38 @@ def load_table(spark: SparkSession, name: str, path: str | None = None) -> DataF
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The declared columns of `df`, with empty strings read as NULL.
 
-    Raises ValueError when a column is missing or has another type.
+    Types as databases export them become the declared ones where no value is lost:
+    other integers and decimals without a fraction, and timestamps, taken in the
+    session's time zone. Raises ValueError when a column is missing or of another
+    kind; the query fails when a number has a fraction or does not fit.
     """
     found = {field.name: field.dataType for field in df.schema}
     columns = []
     for field in schema:
-        accepted = (field.dataType, *schemas.ALSO_ACCEPTED.get(field.dataType, ()))
-        if found.get(field.name) not in accepted:
+        declared, kind = field.dataType, found.get(field.name)
+        column = F.col(field.name)
+        if kind == declared or kind in schemas.ALSO_ACCEPTED.get(declared, ()):
+            if isinstance(declared, StringType):
+                column = F.nullif(column, F.lit(""))
+        elif isinstance(declared, IntegralType) and isinstance(kind, (IntegralType, DecimalType)):
+            column = _exact(column, field)
+        elif isinstance(declared, DateType) and isinstance(kind, TimestampType):
+            column = column.cast("timestamp_ntz")
+        else:
             raise ValueError(
-                f"column {field.name}: expected {field.dataType.simpleString()}, "
-                f"found {_describe(found.get(field.name))}"
+                f"column {field.name}: expected {declared.simpleString()}, "
+                f"found {_describe(kind)}"
             )
-        column = F.col(field.name)
-        if isinstance(field.dataType, StringType):
-            column = F.nullif(column, F.lit("")).alias(field.name)
-        columns.append(column)
+        columns.append(column.alias(field.name))
     return df.select(columns)
 
 
+def _exact(column: Column, field: StructField) -> Column:
+    """A number as the declared integer, or an error where that would change it."""
+    cast = column.try_cast(field.dataType)
+    text = F.concat(F.lit(f"column {field.name}: no {field.dataType.simpleString()}: "), column.cast("string"))
+    return F.when(column.isNull() | (cast == column), cast).otherwise(F.raise_error(text))
+
+
 def _describe(kind) -> str:
     return "none" if kind is None else kind.simpleString()

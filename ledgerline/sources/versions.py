@@ -1,8 +1,10 @@
 """A Parquet table kept as numbered versions, so that it can be rewritten.
 
 Spark cannot overwrite files that the same query reads. Each write goes to a
-folder of its own, and counts from the moment its commit marker is there, so
-readers see either the old version or the whole new one.
+folder of its own, and counts from the moment its own commit marker is there, so
+readers see either the old version or the whole new one. A writer says which
+version it started from and claims the next number for itself; another that
+started from the same version, or an older one, is refused.
 """
 
 import re
@@ -10,9 +12,14 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ledgerline.functions.hadoop import exists, list_names
+from ledgerline.functions.hadoop import create_new, delete, list_names
+from ledgerline.sources.tables import conform
 
-_FOLDER = re.compile(r"version-(\d+)")
+_NAME = re.compile(r"version-(\d+)\.(claimed|committed)")
+
+
+class StaleVersionError(RuntimeError):
+    """Another writer has made, or is making, the version to be written."""
 
 
 class VersionedTable:
@@ -25,36 +32,75 @@ class VersionedTable:
 
     def versions(self) -> list[int]:
         """Numbers of the complete versions, oldest first."""
-        return [
-            number
-            for number in self._started()
-            if exists(self.spark, f"{self._path(number)}/_SUCCESS")
-        ]
+        return sorted(self._marked("committed"))
+
+    def newest(self) -> int | None:
+        return max(self._marked("committed"), default=None)
 
     def read(self, version: int | None = None) -> DataFrame:
-        """A version; the newest complete one by default."""
-        complete = self.versions()
-        number = version if version is not None else max(complete, default=None)
-        if number not in complete:
+        """A version, checked against the schema; the newest complete one by default."""
+        number = version if version is not None else self.newest()
+        if number not in self._marked("committed"):
             raise LookupError(f"{self.root} has no such version: {number}")
-        return self.spark.read.schema(self.schema).parquet(self._path(number))
+        return conform(self.spark.read.parquet(self._path(number)), self.schema)
 
-    def write(self, df: DataFrame) -> int:
-        """Store `df` as the next version and return its number.
+    def write(self, df: DataFrame, base: int | None) -> int:
+        """Store `df`, made from version `base`, as the next one; return its number.
 
-        The number of a write that failed is not used again.
+        `base` is None for the first version. Raises StaleVersionError, without
+        running `df`, when there is a newer version than `base` or another writer is
+        making one. A write that fails gives its number back; that of a writer which
+        died is free after `release`.
         """
-        number = max(self._started(), default=0) + 1
         table = df.select(self.schema.names)
-        for field, declared in zip(table.schema, self.schema):
+        for field, declared in zip(table.schema, self.schema, strict=True):
             if field.dataType != declared.dataType:
                 raise ValueError(f"column {field.name} is not the declared type")
-        table.write.mode("error").parquet(self._path(number))
+        newest = self.newest()
+        if newest != base:
+            raise StaleVersionError(f"{self.root} is at version {newest}, not {base}")
+        number = (base or 0) + 1
+        if not create_new(self.spark, self._marker(number, "claimed")):
+            raise StaleVersionError(f"{self.root}: version {number} is being written")
+        try:
+            table.write.mode("overwrite").parquet(self._path(number))
+            if not create_new(self.spark, self._marker(number, "committed")):
+                raise StaleVersionError(f"{self.root} has version {number} already")
+        except StaleVersionError:
+            raise
+        except BaseException:
+            self.release(number)
+            raise
         return number
 
-    def _started(self) -> list[int]:
-        found = map(_FOLDER.fullmatch, list_names(self.spark, self.root))
-        return sorted(int(match[1]) for match in found if match)
+    def release(self, number: int) -> None:
+        """Give up a version that was claimed and not committed."""
+        if number in self._marked("committed"):
+            raise ValueError(f"version {number} is complete")
+        delete(self.spark, self._path(number))
+        delete(self.spark, self._marker(number, "claimed"))
+
+    def expire(self, keep: int) -> list[int]:
+        """Delete all but the newest `keep` versions; return the numbers deleted.
+
+        Nothing may be reading those.
+        """
+        if keep < 1:
+            raise ValueError("the newest version cannot expire")
+        old = self.versions()[:-keep]
+        for number in old:
+            # First what makes it visible. The claim goes last.
+            delete(self.spark, self._marker(number, "committed"))
+            delete(self.spark, self._path(number))
+            delete(self.spark, self._marker(number, "claimed"))
+        return old
+
+    def _marked(self, how: str) -> set[int]:
+        found = map(_NAME.fullmatch, list_names(self.spark, self.root))
+        return {int(match[1]) for match in found if match and match[2] == how}
+
+    def _marker(self, number: int, how: str) -> str:
+        return f"{self._path(number)}.{how}"
 
     def _path(self, number: int) -> str:
         return f"{self.root}/version-{number:06d}"

@@ -8,11 +8,11 @@ from ledgerline import (
     batch_periods,
     eligible_batches,
     latest_batch_report,
-    merge_batch_periods,
     refresh_batch_periods,
     source_code,
 )
 from ledgerline.functions.lookups import reject_repeated_names
+from ledgerline.operators.refresh import merge_batch_periods
 from tests import edge_rows
 from tests.edge_rows import SOURCE
 
@@ -54,3 +54,11 @@ def test_parquet_tables_cannot_be_merged_in_place(spark, edge, tmp_path):
             merge_batch_periods(batch_periods(*edge.refresh, SOURCE), table)
     finally:
         spark.sql(f"DROP TABLE {table}")
+
+
+def test_periods_of_two_types_are_refused(edge):
+    balances = edge.balances.withColumn(
+        "period_date", edge.balances["period_date"].cast("timestamp_ntz")
+    )
+    with pytest.raises(ValueError, match="periods of two types: date and timestamp_ntz"):
+        refresh_batch_periods(edge.batches, balances, *edge.refresh[2:], SOURCE)

@@ -29,10 +29,12 @@ EXPECTED_ROWS = {
     "active_entity_join": 160,
     "latest_batch_report": 160,
     "latest_batch_report_one": 2,
+    "balances_in_microfinance": 13522,
     "refresh_source": 5981,
     "refresh_source_correlated": 5981,
     "refresh_merged_table": 15000,
     "refresh_then_report": 160,
+    "stored_refresh": 15000,
 }
 
 
@@ -58,6 +60,14 @@ def test_query_with_large_join_sides(spark, duck, no_broadcast, name):
     assert rows_by_name(found) == rows_by_name(wanted)
 
 
+def test_the_looked_up_code_is_that_of_the_data(spark, tmp_path):
+    rows = [("7-HIGH",), ("7-ODD",), ("1-LOW",), ("7-HIGH",)]
+    orders = spark.createDataFrame(rows, "o_orderpriority string")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = registry.queries()["source_code_lookup"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == [("HIGH", 7), ("ODD", 7)]
+
+
 def test_entry_reports_in_order(spark):
     found = entry_points.entry(spark).collect()
     assert len(found) == 32

@@ -9,6 +9,7 @@ from ledgerline import (
     active_descriptions,
     at_entity_maximum,
     batch_periods,
+    batch_periods_sql,
     eligible_batches,
     global_periods,
     latest_balances,
@@ -250,13 +251,113 @@ def test_report_reads_two_columns_of_balances_and_filters_before_shuffling(skewe
     assert len(balances) == 1
     # The semi-join is below the partial aggregate and its shuffle.
     assert re.search(
-        r"hashpartitioning\(batch_id#\d+L, 8\).*\n"
-        r".*HashAggregate\(keys=\[batch_id#\d+L\], functions=\[partial_max.*\n"
-        r".*BroadcastHashJoin .* LeftSemi",
+        r"Exchange hashpartitioning\(batch_id#\d+L, .*\n"
+        r".*HashAggregate\(keys=\[batch_id#\d+L, .*functions=\[partial_max.*\n"
+        r"(.*Project.*\n)?.*BroadcastHashJoin .* LeftSemi",
         plan,
     )
 
 
+def _one_and_all(skewed, entity):
+    return latest_batch_report(
+        skewed["batches"],
+        skewed["by_record"],
+        skewed["entities"],
+        skewed["codes"],
+        "DELINQUENCY",
+        entity=entity,
+    )
+
+
+@pytest.mark.usefixtures("each_size")
+@pytest.mark.parametrize("entity", [None, 50])
+def test_the_range_of_batches_reaches_the_scan_of_balances(skewed, entity):
+    latest = latest_batches(skewed["batches"], 8, entity=entity)
+    low, high = latest.agg(F.min("batch_id"), F.max("batch_id")).first()
+    for found in (_one_and_all(skewed, entity), latest_balances(latest, skewed["by_record"])):
+        (scan,) = [s for s in _scans(final_plan(found)) if {"batch_id", "period_date"} <= _columns(s)
+                   and "file_name" not in _columns(s) and "entity_id" not in _columns(s)]
+        assert f"GreaterThanOrEqual(batch_id,{low})" in scan[1]
+        assert f"LessThanOrEqual(batch_id,{high})" in scan[1]
+
+
+def _rows_shuffled(df):
+    """Rows that the first shuffle after the scan of balances gets."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    found = re.findall(r"shuffle records written: ([\d,]+)", _metrics(plan.executedPlan()))
+    return max((int(x.replace(",", "")) for x in found), default=0)
+
+
+def _metrics(node):
+    inner = node.plan() if "QueryStage" in node.nodeName() else node
+    values = inner.metrics()
+    written = values.get("shuffleRecordsWritten")
+    own = f"shuffle records written: {written.get().value()}\n" if written.isDefined() else ""
+    children = inner.children()
+    return own + "".join(_metrics(children.apply(i)) for i in range(children.size()))
+
+
+def test_little_else_is_shuffled_when_the_latest_batches_are_many(skewed, no_broadcast):
+    """A thousand latest batches among 600,000, beyond the limit of broadcasting."""
+    latest = latest_batches(skewed["batches"], 8)
+    assert latest.count() == 1000
+    assert _rows_shuffled(global_periods(latest, skewed["by_record"])) < 60_000
+
+
+def test_one_entity_reads_few_row_groups_of_balances(spark, skewed, tmp_path):
+    """Balances laid out by batch, as loads leave them."""
+    path = str(tmp_path / "by_load")
+    skewed["by_record"].repartitionByRange(40, "batch_id").sortWithinPartitions("batch_id").write.parquet(path)
+    balances = spark.read.parquet(path)
+
+    # The latest batches of all entities lie anywhere among the loads.
+    latest = spark.range(0, ROWS, 600).select(F.col("id").alias("entity_id"), F.col("id").alias("batch_id"))
+
+    def read(entity):
+        found = global_periods(latest if entity is None else latest.where(F.col("entity_id") == entity), balances)
+        plan = found._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        return max(_scanned(plan.executedPlan()))
+
+    assert read(60_000) * 10 < read(None)
+
+
+def _scanned(node):
+    inner = node.plan() if "QueryStage" in node.nodeName() else node
+    name = inner.nodeName()
+    if name.startswith("Scan parquet"):
+        columns = {a for a in re.findall(r"(\w+)#", inner.output().mkString(","))}
+        rows = inner.metrics().get("numOutputRows").get().value()
+        return [rows if columns == {"batch_id", "period_date"} else 0]
+    children = inner.children()
+    return [n for i in range(children.size()) for n in _scanned(children.apply(i))] or [0]
+
+
+def test_repeated_and_missing_keys_are_shared_out_over_tasks(spark, skewed, small_partitions):
+    """A third of the batches without id, a third on one pair."""
+    third = F.col("batch_id") % 3
+    batches = skewed["batches"].select(
+        F.when(third == 0, None).when(third == 1, 1).otherwise(F.col("batch_id")).alias("batch_id"),
+        F.when(third == 1, 7).otherwise(F.col("entity_id")).alias("entity_id"),
+        *[c for c in skewed["batches"].columns if c not in ("batch_id", "entity_id")],
+    )
+    rest = (skewed["by_record"], skewed["microfinance"], skewed["codes"], "DELINQUENCY")
+    for found in (batch_periods(batches, *rest), batch_periods_sql(batches, *rest)):
+        sizes = [r[0] for r in found.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert sum(sizes) == ROWS
+        assert max(sizes) <= 5 * ROWS / 64
+
+
+def test_the_batch_table_is_scanned_twice_for_a_refresh(spark, edge, tmp_path):
+    path = str(tmp_path / "batches")
+    edge.batches.write.parquet(path)
+    refreshed = refresh_batch_periods(spark.read.parquet(path), *edge.refresh[1:], "DELINQUENCY")
+    # Once for the stored pairs, when the refresh is made; once here.
+    plan = final_plan(refreshed)
+    assert len([s for s in _scans(plan) if "file_name" in _columns(s)]) == 1
+
+
 def test_one_entity_report_reads_only_that_entity(skewed):
     plan = final_plan(
         latest_batch_report(

@@ -8,15 +8,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import (
+    StaleVersionError,
     VersionedTable,
     conform,
+    eligible_batches,
     latest_batch_report,
     load_table,
     refresh_batch_periods,
     refresh_then_report,
+    with_entity_maximum,
 )
 from ledgerline.functions import pinning
-from ledgerline.functions.pinning import clear_pins, pin
+from ledgerline.functions.pinning import clear_pins, pin, pins
 from ledgerline.schemas import ENTITY_SOURCES, LOAD_BATCHES
 from ledgerline.sources.tables import TABLES
 from tests import edge_rows
@@ -106,43 +109,125 @@ def test_wide_keys_and_times_of_day_work(spark, edge):
     ] == [(50, datetime(2024, 6, 30, 5), 102)] * 2
 
 
-def test_a_table_is_refreshed_from_its_own_newest_version(spark, edge, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "load_batches"), LOAD_BATCHES)
+@pytest.fixture
+def store(spark, tmp_path):
+    return VersionedTable(spark, str(tmp_path / "load_batches"), LOAD_BATCHES)
+
+
+def test_a_table_is_refreshed_from_its_own_newest_version(edge, store):
     with pytest.raises(LookupError):
-        table.read()
-    assert table.write(edge.batches) == 1
-    refreshed = refresh_batch_periods(table.read(), *edge.refresh[1:], SOURCE)
-    assert table.write(refreshed) == 2
-    assert table.versions() == [1, 2]
-    periods = {(r.batch_id, r.entity_id): r.period_date for r in table.read().collect()}
+        store.read()
+    assert store.write(edge.batches, base=None) == 1
+    refreshed = refresh_batch_periods(store.read(), *edge.refresh[1:], SOURCE)
+    assert store.write(refreshed, base=1) == 2
+    assert store.versions() == [1, 2]
+    periods = {(r.batch_id, r.entity_id): r.period_date for r in store.read().collect()}
     assert periods == edge_rows.REFRESHED_PERIODS
-    before = sorted(table.read(1).collect(), key=repr)
+    before = sorted(store.read(1).collect(), key=repr)
     assert before == sorted(edge.batches.collect(), key=repr)
 
 
-def test_an_unfinished_version_is_not_read_and_not_reused(spark, edge, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "load_batches"), LOAD_BATCHES)
-    table.write(edge.batches)
+def test_a_write_from_an_old_version_is_refused(edge, store):
+    store.write(edge.batches, base=None)
+    store.write(edge.batches, base=1)
+    for base in (None, 1, 3):
+        with pytest.raises(StaleVersionError):
+            store.write(edge.batches.limit(1), base=base)
+    assert store.versions() == [1, 2] and store.read().count() == 11
+
+
+def test_one_of_two_writers_gets_a_number(edge, store, tmp_path):
+    store.write(edge.batches, base=None)
+    # Another writer has started from version 1 too and is not done.
+    (tmp_path / "load_batches" / "version-000002.claimed").touch()
+    with pytest.raises(StaleVersionError, match="version 2 is being written"):
+        store.write(edge.batches, base=1)
+    assert store.versions() == [1] and store.read().count() == 11
+    # It has died.
+    store.release(2)
+    assert store.write(edge.batches, base=1) == 2
+    with pytest.raises(ValueError):
+        store.release(2)
+
+
+def test_an_unfinished_version_is_not_read(edge, store, tmp_path, conf):
+    with conf(spark__hadoop__mapreduce__fileoutputcommitter__marksuccessfuljobs="false"):
+        store.write(edge.batches, base=None)
     os.makedirs(tmp_path / "load_batches" / "version-000002" / "_temporary")
-    assert table.versions() == [1]
-    assert table.read().count() == 11
-    assert table.write(edge.batches.limit(1)) == 3
-    assert table.read().count() == 1
+    assert store.versions() == [1] and store.read().count() == 11
+    assert store.write(edge.batches.limit(1), base=1) == 2
+    assert store.read().count() == 1
+
+
+def test_a_failed_write_gives_its_number_back(edge, store):
+    broken = edge.batches.withColumn("file_name", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        store.write(broken, base=None)
+    assert store.versions() == []
+    assert store.write(edge.batches, base=None) == 1
+
 
+def test_old_versions_expire(edge, store):
+    store.write(edge.batches, base=None)
+    for base in (1, 2, 3):
+        store.write(edge.batches.limit(base), base=base)
+    assert store.expire(keep=2) == [1, 2]
+    assert store.versions() == [3, 4] and store.read().count() == 3
+    assert store.write(edge.batches, base=4) == 5
+    with pytest.raises(ValueError):
+        store.expire(keep=0)
 
-def test_a_version_must_have_the_declared_types(spark, edge, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "load_batches"), LOAD_BATCHES)
+
+def test_empty_strings_of_a_version_are_read_as_null(spark, store):
+    rows = [(1, 5, None, None, 8, "")]
+    store.write(spark.createDataFrame(rows, LOAD_BATCHES), base=None)
+    assert store.read().first().file_name is None
+
+
+def test_a_version_must_have_the_declared_types(edge, store):
     with pytest.raises(ValueError, match="batch_id"):
-        table.write(edge.batches.withColumn("batch_id", F.col("batch_id").cast("string")))
+        store.write(edge.batches.withColumn("batch_id", F.col("batch_id").cast("string")), None)
 
 
-def test_refresh_then_report_through_a_store(spark, edge, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "load_batches"), LOAD_BATCHES)
+def test_refresh_then_report_through_a_store(edge, store):
+    base = store.write(edge.batches, base=None)
     found = refresh_then_report(
-        *edge.refresh[:3], edge.entities, edge.codes, SOURCE, store=table
+        store.read(base), *edge.refresh[1:3], edge.entities, edge.codes, SOURCE, store=store, base=base
     )
     assert [tuple(row) for row in found.collect()] == edge_rows.REPORT_AFTER_REFRESH
-    assert table.versions() == [1]
+    assert store.versions() == [1, 2]
+
+
+@pytest.mark.parametrize("kind", ["smallint", "int", "decimal(18,0)", "decimal(38,0)", "decimal(38,10)"])
+def test_exported_number_types_load(spark, edge, kind):
+    tables = {}
+    for name, rows in edge_rows.ROWS.items():
+        frame = spark.createDataFrame(rows, edge_rows.SCHEMAS[name])
+        numbers = [f.name for f in frame.schema if f.dataType.simpleString() in ("bigint", "int")]
+        cast = frame.withColumns({c: F.col(c).cast(kind) for c in numbers})
+        tables[name] = conform(cast, TABLES[name])
+    found = latest_batch_report(*arguments(tables).report, SOURCE).collect()
+    assert [tuple(row) for row in found] == edge_rows.REPORT
+
+
+@pytest.mark.parametrize("value, kind", [("1.5", "decimal(38,10)"), ("99999999999999999999", "decimal(38,10)")])
+def test_numbers_that_would_change_are_refused(spark, value, kind):
+    table = spark.createDataFrame([("a", "1")], "description string, status string").select(
+        F.lit(value).cast(kind).alias("entity_id"), "description", F.col("status").cast("bigint")
+    )
+    with pytest.raises(Exception, match="column entity_id: no bigint"):
+        conform(table, ENTITY_SOURCES).collect()
+
+
+def test_timestamps_load_with_their_time_of_day(spark, edge):
+    def timed(table):
+        return table.withColumn("period_date", F.to_timestamp("period_date"))
+
+    batches = conform(timed(edge.batches).withColumn("cancelled_at", F.to_timestamp("cancelled_at")), LOAD_BATCHES)
+    balances = conform(timed(edge.balances), TABLES["general_balances"])
+    assert batches.schema["period_date"].dataType.simpleString() == "timestamp_ntz"
+    found = latest_batch_report(batches, balances, edge.entities, edge.codes, SOURCE)
+    assert [row.global_period for row in found.collect()] == [datetime(2024, 3, 31)] * 2 + [None]
 
 
 def test_pinned_results_are_measured(spark):
@@ -164,30 +249,48 @@ def test_only_small_results_are_broadcast(spark, conf):
         assert not pin(spark.range(0)).small
 
 
-def test_pins_lie_in_the_configured_folder_and_can_be_cleared(spark, tmp_path, conf, monkeypatch):
-    monkeypatch.setattr(pinning, "_shared_folder", lambda session: str(tmp_path))
-    pin(spark.range(3))
-    assert len(os.listdir(tmp_path / "ledgerline" / spark.sparkContext.applicationId)) == 1
-    clear_pins(spark)
-    assert os.listdir(tmp_path / "ledgerline") == []
+def test_bounds_are_measured_with_the_pin(spark):
+    pinned = pin(spark.range(5, 9), bounds="id")
+    assert (pinned.low, pinned.high) == (5, 8)
+    assert pin(spark.range(0), bounds="id").low is None
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    found = pinning._shared_folder(spark)
-    assert found == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+def test_broadcast_limits_are_read_with_their_units(spark, conf):
+    for text, number in (("10485760b", 10 << 20), ("256k", 256 << 10), ("1GB", 1 << 30), ("-1", -1), ("77", 77)):
+        with conf(spark__sql__autoBroadcastJoinThreshold=text):
+            assert pinning.broadcast_limit(spark) == number
+
 
+def _folders(spark):
+    top = spark.conf.get("spark.checkpoint.dir")
+    return set(os.listdir(f"{top}/ledgerline/{spark.sparkContext.applicationId}"))
 
-def test_a_cluster_without_shared_folder_is_refused():
-    class Context:
-        master = "yarn"
 
-        def getCheckpointDir(self):
-            return None
+def test_a_block_deletes_its_own_pins_only(spark):
+    mine = pin(spark.range(3))
+    before = _folders(spark)
+    with pins(spark):
+        inner = pin(spark.range(4))
+        assert inner.df.count() == 4 and len(_folders(spark)) == len(before) + 1
+    assert _folders(spark) == before and mine.df.count() == 3
+
+
+def test_clearing_one_session_leaves_results_of_another(spark, edge):
+    other = spark.newSession()
+    other_pin = pin(other.range(7))
+    kept = with_entity_maximum(eligible_batches(edge.batches, 8))
+    clear_pins(other)
+    assert kept.count() == 8
+    with pytest.raises(Exception, match="(?i)exist"):
+        other_pin.df.count()
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert pinning._shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
 
+def test_without_one_it_is_the_warehouse():
     class Session:
-        sparkContext = Context()
-        conf = {}
+        conf = {"spark.sql.warehouse.dir": "hdfs://host/warehouse/"}
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        pinning._shared_folder(Session())
+    assert pinning._shared_folder(Session()) == "hdfs://host/warehouse"
