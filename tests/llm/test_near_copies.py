@@ -92,7 +92,9 @@ def test_near_duplicates_on_edge_rows(edge_docs, no_docs):
     # Null, empty and blank texts are one group, whose smallest id is 1.
     assert {r.component_id for r in empty} == {1} and len(empty) == 5
     kept = Counter((r.component_id, r.doc_id) for r in found if r.keep)
-    assert kept[(4, 4)] in (1, 2)
+    # Two equal rows, and another text of the same doc_id in a group of its own.
+    assert kept[(4, 4)] == 3
+    assert set(kept) >= {(1, 1), (5, 5), (7, 7), (None, None)}
 
 
 def test_components_of_a_chain_a_star_and_loops(spark):
