@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.filters import of_keys
+from ledgerline.functions.filters import of_keys, within
 from ledgerline.functions.joins import apart
 from ledgerline.functions.lookups import source_code
 from ledgerline.functions.pinning import Pinned, broadcast_limit, pin
@@ -17,7 +17,9 @@ REPORT_COLUMNS = ["entity_id", "description", "global_period", "file_name", "bat
 def latest_balances(latest: DataFrame, balances: DataFrame) -> DataFrame:
     """The balances of every latest batch, of whatever entity they are."""
     keys = pin(latest.select("entity_id", "batch_id"), bounds="batch_id")
-    return of_keys(balances, keys, "batch_id").join(keys.side, "batch_id").select(
+    # The join itself drops the others before a shuffle when the keys are broadcast.
+    near = (within if keys.small else of_keys)(balances, keys, "batch_id")
+    return near.join(keys.side, "batch_id").select(
         "entity_id", "batch_id", "person_id", "balance_id", "period_date"
     )
 
