@@ -261,7 +261,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     tokens = stored.select("doc_id", "text_hash", F.explode(apart).alias("span")).withColumn(
         "token", F.col("span.value")
     )
-    tested = with_randomness(tokens)
+    # Stored, so that the tests are planned and run once.
+    tested = pin(with_randomness(tokens)).df
     mean, threshold = fit_threshold(tested)
     passed = -F.log10(F.lit(threshold)) if threshold else F.lit(float("inf"))
     # The steps of fit_threshold: p rounded up to a step beyond the threshold stays.

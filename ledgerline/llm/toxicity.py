@@ -35,7 +35,7 @@ SECOND_PERSON = frozenset(
 LOOKALIKES = str.maketrans("013457@$!|*", "oieastasiil")
 
 _WORD = re.compile(r"[^\W\d_]+")
-_DISGUISED = re.compile(r"[^\W\d_]+(?:[0-9@$!|*]+[^\W\d_]+)+")
+_DISGUISED = re.compile(r"\b[^\W\d_]++(?:[0-9@$!|*]++[^\W\d_]++)++")
 _SPACED = re.compile(r"\b[^\W\d_](?:[ .\-_*][^\W\d_]){3,}\b")
 _SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
 _RUN_OF_MARKS = re.compile(r"[!?]{2,}")

@@ -38,7 +38,7 @@ def batch_periods(
     row in the join. Rows are repeated at the end, in pieces that are dealt out.
     """
     own = _pairs(_of_source(batches, codes, source_name))
-    return _repeated(_periods(own, balances, microfinance))
+    return _repeated(_periods(own, balances, microfinance), own)
 
 
 def batch_periods_sql(
@@ -55,7 +55,7 @@ def batch_periods_sql(
     own = _pairs(_of_source(batches, codes, source_name))
     found = own.df.sparkSession.sql(
         """
-        SELECT b.batch_id, b.number,
+        SELECT b.batch_id, b.entity_id, b.number,
                (SELECT max(c.period_date) FROM {covered} c
                  WHERE c.batch_id = b.batch_id AND c.entity_id = b.entity_id
                ) AS period_date
@@ -64,7 +64,7 @@ def batch_periods_sql(
         own=own.df,
         covered=_covered_balances(own, balances, microfinance),
     )
-    return _repeated(found)
+    return _repeated(found, own)
 
 
 def refresh_batch_periods(
@@ -150,21 +150,25 @@ def _refuse_repeated(own: Pinned) -> None:
 
 
 def _periods(own: Pinned, balances: DataFrame, microfinance: DataFrame) -> DataFrame:
-    """Batch, period and number of each pair."""
+    """Each pair with its number and its period."""
     newest = pin(_newest(_covered_balances(own, balances, microfinance)))
     return own.df.join(newest.side, ["batch_id", "entity_id"], "left").select(
-        "batch_id", "period_date", "number"
+        "batch_id", "entity_id", "period_date", "number"
     )
 
 
-def _repeated(pairs: DataFrame) -> DataFrame:
-    """Every row as often as its `number` says.
+def _repeated(pairs: DataFrame, own: Pinned) -> DataFrame:
+    """Batch and period of every pair, as often as its `number` in `own` says.
 
     A number is cut into pieces, which are dealt out, before anything is repeated.
     """
+    if own.df.where("number > 1").isEmpty():
+        return pairs.select("batch_id", "period_date")
     starts = F.sequence(F.lit(0), F.col("number") - 1, F.lit(_PIECE))
-    pieces = pairs.select("batch_id", "period_date", "number", F.explode(starts).alias("start"))
-    dealt = pieces.repartition("batch_id", "start")
+    pieces = pairs.withColumn("start", F.explode(starts))
+    # With a number of its own Spark keeps these partitions, small as they are yet.
+    partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pieces.repartition(partitions, "batch_id", "entity_id", "start")
     size = F.least(F.col("number") - F.col("start"), F.lit(_PIECE))
     return dealt.select(
         "batch_id", "period_date", F.explode(F.sequence(F.lit(1), size)).alias("copy")
