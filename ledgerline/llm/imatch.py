@@ -1,6 +1,6 @@
 """I-Match fingerprints: hashes of a document's terms of middling rarity."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.pinning import pin
@@ -16,7 +16,8 @@ FAMILIES, LEVELS = 3, 10
 NEIGHBOURS = 8_000
 
 _BETWEEN_TERMS = r"""[\x20\x09-\x0D.,;:!?"()\[\]]+"""
-_TABLE = 1 << 16
+# Slots of the lexicon's table. A row carries a copy of it through one projection.
+_TABLE = 1 << 12
 
 
 def term_hashes(text: Column) -> Column:
@@ -37,9 +38,9 @@ def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame
     return counts.count().where(F.col("count").between(low * number, high * number)).select("term")
 
 
-def lookup_table(spark: SparkSession, terms: DataFrame) -> Column:
+def lookup_table(terms: DataFrame) -> Column:
     """The lexicon as one value: arrays of hashes, by hash modulo their number."""
-    slots = spark.range(_TABLE).withColumnRenamed("id", "slot")
+    slots = terms.sparkSession.range(_TABLE).withColumnRenamed("id", "slot")
     filled = terms.groupBy(F.pmod("term", F.lit(_TABLE)).alias("slot")).agg(
         F.collect_list("term").alias("terms")
     )
@@ -47,7 +48,7 @@ def lookup_table(spark: SparkSession, terms: DataFrame) -> Column:
     rows = slots.join(filled, "slot", "left").select(
         F.struct("slot", F.coalesce("terms", empty).alias("terms")).alias("row")
     )
-    ordered = F.array_sort(F.collect_list("row"))
+    ordered = F.sort_array(F.collect_list("row"))
     return rows.select(F.transform(ordered, lambda row: row["terms"])).scalar()
 
 
@@ -59,9 +60,11 @@ def _kept(terms: Column | str, family: int, level: int) -> Column:
     )
 
 
-def with_fingerprint(rows: DataFrame, text: str, table: str, name: str) -> DataFrame:
+def with_fingerprint(rows: DataFrame, text: str, lexicon: Column, name: str) -> DataFrame:
     """Add column `name`, the fingerprint of column `text`, which must not be null.
 
+    `lexicon` is a value as `lookup_table` gives it.
+
     Distinct terms of the lexicon are sorted and hashed, whole and in each subset of
     the lexicon: 8 hex digits each, or dashes where the subset has no term of the
     text. A text that has no term of the lexicon uses all its terms.
@@ -69,12 +72,13 @@ def with_fingerprint(rows: DataFrame, text: str, table: str, name: str) -> DataF
     known = F.filter(
         "all_terms",
         lambda term: F.array_contains(
-            F.get(F.col(table), F.pmod(term, F.lit(_TABLE)).cast("int")), term
+            F.get(F.col("lexicon"), F.pmod(term, F.lit(_TABLE)).cast("int")), term
         ),
     )
     used = F.when(F.size("known") > 0, F.col("known")).otherwise(F.col("all_terms"))
-    rows = rows.withColumn("all_terms", term_hashes(F.col(text)))
-    rows = rows.withColumn("known", known).withColumn("f0l0", F.array_sort(used))
+    rows = rows.withColumns({"all_terms": term_hashes(F.col(text)), "lexicon": lexicon})
+    rows = rows.withColumn("known", known).drop("lexicon").withColumn("f0l0", F.sort_array(used))
+    rows = rows.drop("all_terms", "known")
     names = ["f0l0"]
     # One projection per level, so that each works on what the one before has kept.
     for level in range(1, LEVELS + 1):
@@ -89,7 +93,7 @@ def with_fingerprint(rows: DataFrame, text: str, table: str, name: str) -> DataF
         .otherwise(F.lit("-" * 8))
         for part in names
     ]
-    return rows.withColumn(name, F.concat(*parts)).drop("all_terms", "known", *names)
+    return rows.withColumn(name, F.concat(*parts)).drop(*names)
 
 
 def likeness(a: Column | str, b: Column | str) -> Column:
@@ -114,8 +118,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     an empty table gives none. Texts are not shuffled.
     """
     rows = docs.select("doc_id", whole(F.col("text")).alias("text"))
-    table = lookup_table(docs.sparkSession, pin(lexicon(rows.select("text"))).df)
-    marked = with_fingerprint(rows.withColumn("lexicon", table), "text", "lexicon", "fingerprint")
+    table = lookup_table(pin(lexicon(rows.select("text"))).df)
+    marked = with_fingerprint(rows, "text", table, "fingerprint")
     return marked.select("doc_id", "fingerprint")
 
 
@@ -165,6 +169,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
 def query(spark, sf_dir) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     terms = pin(lexicon(docs.select(whole(F.col("text")).alias("text")))).df
+    table = lookup_table(terms)
     rows, window = with_next(docs)
     taken = F.expr("n_chars div 4").cast("int")
     rows = (
@@ -178,13 +183,10 @@ def query(spark, sf_dir) -> DataFrame:
             ),
         )
         .drop("next_text", "taken")
-        .withColumn("lexicon", lookup_table(spark, terms))
     )
-    rows = with_fingerprint(rows, "text", "lexicon", "fingerprint").drop("text")
+    rows = with_fingerprint(rows, "text", table, "fingerprint").drop("text")
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    rows = with_fingerprint(rows, "edited", "lexicon", "edited_fingerprint").drop(
-        "edited", "lexicon"
-    )
+    rows = with_fingerprint(rows, "edited", table, "edited_fingerprint").drop("edited")
     rows = rows.withColumn("next", F.lead("fingerprint").over(window)).where(~F.col("guest"))
     return rows.select(
         "doc_id",
