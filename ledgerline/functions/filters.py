@@ -1,57 +1,197 @@
 """Filters on the keys of another table that work before any shuffle."""
 
+from collections.abc import Callable
+from decimal import Decimal
+from functools import reduce
+from itertools import pairwise
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+from ledgerline.functions.pinning import Pinned, broadcast_limit, fits_broadcast
 
-from ledgerline.functions.pinning import Pinned, fits_broadcast
+# Literal ranges in a filter, steps in which gaps between keys are looked for, and how
+# often the steps are made finer.
+_MOST_RANGES, _STEPS, _ROUNDS = 32, 4096, 3
+# A block of a Bloom filter is _WORDS words of 64 bits. A key sets a bit in each of them,
+# so that with _KEYS keys in a block fewer than one in a hundred others passes.
+_WORDS, _KEYS = 8, 32
+# Bytes of a block in a broadcast table, with its number; tables at most, and what one
+# may take where the session broadcasts less or nothing.
+_BLOCK_BYTES, _MOST_TABLES, _TABLE_BYTES = 100, 16, 8 << 20
 
-# Bits of a sketch, at least and at most. The largest takes 4 MB.
-_LEAST_BITS, _MOST_BITS = 1 << 12, 1 << 25
-_BITS_PER_KEY = 16
+RAW = "__raw_"
 
 
 def of_keys(rows: DataFrame, keys: Pinned, key: str) -> DataFrame:
     """`rows` without most of those whose `key` is not in `keys`; none that is.
 
-    `keys` was pinned with the bounds of its column `key`. Their range is compared
-    with literals, which reach the statistics of Parquet files. Within it, keys are
-    looked up: in a broadcast of the key column where that fits, else in a sketch of
-    bounded size that may let others pass. The caller's join or group decides, so it
-    makes no difference to a result; either way little else is shuffled.
+    `keys` was pinned with the bounds of its column `key`. First come literal ranges of
+    the keys, which reach the statistics of Parquet files. Within them keys are looked
+    up: in a broadcast of the key column where that fits, else in Bloom filters, each a
+    table of at most 8 MB or the broadcast limit. Where one cannot hold all keys, each
+    holds a range of them and meets only the rows of that range, in a scan of its own.
+    Where more than 16 would be needed, only the literal ranges filter. The caller's join
+    or group decides, so none of this makes a difference to a result.
     """
-    near = within(rows, keys, key)
+    ranges = key_ranges(keys, key)
     wanted = keys.df.select(key)
     if fits_broadcast(wanted, keys.rows):
-        return near.join(F.broadcast(wanted), key, "left_semi")
-    return near.where(_in_sketch(wanted, keys.rows, key))
+        return in_ranges(rows, key, ranges).join(F.broadcast(wanted), key, "left_semi")
+    parts = _parts(keys, key, ranges)
+    if len(parts) > _MOST_TABLES:
+        return in_ranges(rows, key, ranges)
+    filtered = (
+        _bloom(in_ranges(rows, key, part), in_ranges(wanted, key, part), [key], blocks(keys.rows // len(parts)))
+        for part in parts
+    )
+    return reduce(DataFrame.unionAll, filtered)
 
 
 def within(rows: DataFrame, keys: Pinned, key: str) -> DataFrame:
-    """`rows` whose `key` is in the range of that of `keys`."""
-    if keys.low is None:
+    """`rows` whose `key` is in one of the ranges that the keys of `keys` fall into."""
+    return in_ranges(rows, key, key_ranges(keys, key))
+
+
+def equal_to(rows: DataFrame, key: str, value: int) -> DataFrame:
+    """`rows` whose `key` is `value`."""
+    return in_ranges(rows, key, [(value, value)])
+
+
+def like(rows: DataFrame, others: DataFrame, keys: list[str]) -> DataFrame:
+    """`rows` without most of those whose `keys` no row of `others` has; none that has.
+
+    One Bloom filter of bounded size, however many rows `others` has. The more they are,
+    the more others pass; it pays where they are few.
+    """
+    return _bloom(rows, others, keys, _table_bytes(rows) // _BLOCK_BYTES)
+
+
+def in_ranges(rows: DataFrame, key: str, ranges: list[tuple]) -> DataFrame:
+    """`rows` whose `key` is in one of `ranges`, by literals.
+
+    Where `key` was converted from another type, the column it was made from is compared
+    too, in its own type: that reaches the files, which a conversion does not.
+    """
+    if not ranges:
         return rows.where(F.lit(False))
-    return rows.where(F.col(key).between(F.lit(keys.low), F.lit(keys.high)))
-
-
-def _in_sketch(keys: DataFrame, rows: int, key: str) -> Column:
-    """Whether the hash of `key` is marked in a bit array of all hashes of `keys`."""
-    bits = _LEAST_BITS
-    while bits < min(rows * _BITS_PER_KEY, _MOST_BITS):
-        bits *= 2
-    place = F.pmod(F.xxhash64(key), F.lit(bits))
-    word, bit = (place / 64).cast("int"), (place % 64).cast("int")
-    one = F.expr("shiftleft(1L, bit)")
-    marked = (
-        keys.where(F.col(key).isNotNull())
-        .select(word.alias("word"), bit.alias("bit"))
-        .groupBy("word")
-        .agg(F.bit_or(one).alias("marks"))
+    rows = rows.where(_any(F.col(key), ranges, F.lit))
+    if RAW + key in rows.columns:
+        kind = rows.schema[RAW + key].dataType
+        rows = rows.where(_any(F.col(RAW + key), *_as_type(ranges, kind)))
+    return rows
+
+
+def _any(column: Column, ranges: list[tuple], literal: Callable) -> Column:
+    def inside(low, high) -> Column:
+        return column == literal(low) if low == high else column.between(literal(low), literal(high))
+
+    return reduce(or_, (inside(*ends) for ends in ranges), F.lit(False))
+
+
+def _as_type(ranges: list[tuple], kind) -> tuple[list[tuple], Callable]:
+    """The ranges as far as values of the type `kind` reach, and their literals."""
+    if not isinstance(kind, DecimalType):
+        return ranges, F.lit
+    most = 10 ** (kind.precision - kind.scale) - 1
+    reached = [(max(low, -most), min(high, most)) for low, high in ranges if low <= most and high >= -most]
+    return reached, lambda value: F.lit(Decimal(value)).cast(kind)
+
+
+def key_ranges(keys: Pinned, key: str) -> list[tuple]:
+    """At most 32 ranges that hold all keys, cut at the largest gaps between them.
+
+    The range of all keys is taken in 4,096 steps, of which those with keys give their
+    least and largest. Cut at the largest gaps, it covers less, in which steps can be
+    finer: a few stray keys far away from each other and from the others cost a round
+    each. A round groups the stored keys, and at most some 4,100 rows come back.
+    """
+    if keys.low is None:
+        return []
+    ranges = [(int(keys.low), int(keys.high))]
+    for _ in range(_ROUNDS):
+        covered = sum(high - low + 1 for low, high in ranges)
+        if covered <= 4 * keys.rows or keys.rows <= 1:
+            break
+        found = _cut(_occupied(keys.df, key, covered // _STEPS + 1))
+        left = sum(high - low + 1 for low, high in found)
+        ranges = found
+        if 2 * left > covered:
+            break
+    return ranges
+
+
+def _occupied(keys: DataFrame, key: str, step: int) -> list[tuple]:
+    value = F.col(key)
+    start = value - value % F.lit(step).cast(keys.schema[key].dataType)
+    found = (
+        keys.where(value.isNotNull())
+        .groupBy(start.alias("start"))
+        .agg(F.min(key).alias("low"), F.max(key).alias("high"))
+        .select("low", "high")
     )
-    words = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("word"))
-    filled = words.join(marked, "word", "left").select(
-        F.struct("word", F.coalesce("marks", F.lit(0)).alias("marks")).alias("entry")
+    return sorted((int(r["low"]), int(r["high"])) for r in found.collect())
+
+
+def _cut(ranges: list[tuple]) -> list[tuple]:
+    """Neighbouring ranges joined over all but the largest gaps."""
+    gaps = sorted(((b[0] - a[1], i) for i, (a, b) in enumerate(pairwise(ranges))), reverse=True)
+    cuts = sorted(i + 1 for gap, i in gaps[: _MOST_RANGES - 1] if gap > 1)
+    ends = [0, *cuts, len(ranges)]
+    return [(ranges[a][0], ranges[b - 1][1]) for a, b in pairwise(ends)]
+
+
+def blocks(rows: int) -> int:
+    """Blocks of a Bloom filter for so many keys."""
+    return rows // _KEYS + 1
+
+
+def _table_bytes(df: DataFrame) -> int:
+    return max(broadcast_limit(df.sparkSession), _TABLE_BYTES)
+
+
+def _parts(keys: Pinned, key: str, ranges: list[tuple]) -> list[list[tuple]]:
+    """The ranges, dealt to parts whose Bloom filters fit the broadcast limit."""
+    number = -(-blocks(keys.rows) * _BLOCK_BYTES // _table_bytes(keys.df))
+    if number == 1 or number > _MOST_TABLES:
+        return [ranges] * number
+    # Quantiles are approximate, and equal keys stay together: some room for that.
+    number = min(number + number // 8 + 1, _MOST_TABLES)
+    shares = [i / number for i in range(1, number)]
+    cuts = keys.df.agg(F.percentile_approx(key, shares, 10_000)).first()[0]
+    ends = [int(keys.low) - 1, *sorted({int(c) for c in cuts}), int(keys.high)]
+    parts = [
+        [(max(low, a + 1), min(high, b)) for low, high in ranges if low <= b and high > a]
+        for a, b in pairwise(ends)
+    ]
+    return [part for part in parts if part]
+
+
+def _bloom(rows: DataFrame, others: DataFrame, keys: list[str], number: int) -> DataFrame:
+    """`rows` whose `keys` a Bloom filter of `number` blocks over `others` may hold.
+
+    The filter is a table of a row per block. A row finds its block in the broadcast,
+    and its bits in the block's words.
+    """
+    word = [f"__word{i}" for i in range(_WORDS)]
+
+    def block() -> Column:
+        return F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(number))
+
+    def bit(i: int) -> Column:
+        # Six bits of the second hash for each word.
+        place = F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit(2), *keys), 6 * i), F.lit(64)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+    there = reduce(and_, (F.col(k).isNotNull() for k in keys))
+    table = (
+        others.where(there)
+        .groupBy(block().alias("__block"))
+        .agg(*(F.bit_or(bit(i)).alias(w) for i, w in enumerate(word)))
     )
-    # At most half a million entries: the sketch has a bounded number of bits.
-    entries = F.array_sort(F.collect_list("entry"))
-    sketch = filled.select(F.transform(entries, lambda entry: entry["marks"])).scalar()
-    return F.getbit(F.get(sketch, word), bit) == 1
+    found = rows.withColumn("__block", block()).join(F.broadcast(table), "__block")
+    marked = reduce(and_, (F.col(w).bitwiseAND(bit(i)) != 0 for i, w in enumerate(word)))
+    return found.where(marked & there).select(rows.columns)
+

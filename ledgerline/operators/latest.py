@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.filters import equal_to
 from ledgerline.functions.pinning import Pinned, pin
 
 
@@ -14,7 +15,7 @@ def eligible_batches(
         F.col("cancelled_at").isNull() & (F.col("source_type") == source_code)
     )
     if entity is not None:
-        kept = kept.where(F.col("entity_id") == entity)
+        kept = equal_to(kept, "entity_id", entity)
     return kept.select("batch_id", "entity_id", "period_date", "file_name")
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.filters import of_keys, within
+from ledgerline.functions.filters import equal_to, like, of_keys, within
 from ledgerline.functions.joins import apart
 from ledgerline.functions.lookups import source_code
 from ledgerline.functions.pinning import Pinned, broadcast_limit, pin
@@ -57,7 +57,7 @@ def latest_batch_report(
         latest_batches(batches, source_code(codes, source_name), entity), bounds="batch_id"
     )
     if entity is not None:
-        entities = entities.where(F.col("entity_id") == entity)
+        entities = equal_to(entities, "entity_id", entity)
     dated = _with_global_period(latest, balances)
     # One column more than was measured is broadcast.
     small = latest.bytes + 16 * latest.rows <= broadcast_limit(dated.sparkSession)
@@ -94,4 +94,4 @@ def _describe(latest: DataFrame, small: bool, entities: DataFrame) -> DataFrame:
     )
     if small:
         return active.join(F.broadcast(latest), "entity_id").distinct()
-    return active.distinct().join(latest, "entity_id")
+    return like(active, latest, ["entity_id"]).distinct().join(latest, "entity_id")

@@ -277,8 +277,11 @@ def test_the_range_of_batches_reaches_the_scan_of_balances(skewed, entity):
     for found in (_one_and_all(skewed, entity), latest_balances(latest, skewed["by_record"])):
         (scan,) = [s for s in _scans(final_plan(found)) if {"batch_id", "period_date"} <= _columns(s)
                    and "file_name" not in _columns(s) and "entity_id" not in _columns(s)]
-        assert f"GreaterThanOrEqual(batch_id,{low})" in scan[1]
-        assert f"LessThanOrEqual(batch_id,{high})" in scan[1]
+        if low == high:
+            assert f"EqualTo(batch_id,{low})" in scan[1]
+        else:
+            assert f"GreaterThanOrEqual(batch_id,{low})" in scan[1]
+            assert f"LessThanOrEqual(batch_id,{high})" in scan[1]
 
 
 def _rows_shuffled(df):
