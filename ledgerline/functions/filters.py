@@ -104,25 +104,37 @@ def key_ranges(keys: Pinned, key: str) -> list[tuple]:
     """At most 32 ranges that hold all keys, cut at the largest gaps between them.
 
     The range of all keys is taken in 4,096 steps, of which those with keys give their
-    least and largest. Cut at the largest gaps, it covers less, in which steps can be
-    finer: a few stray keys far away from each other and from the others cost a round
-    each. A round groups the stored keys, and at most some 4,100 rows come back.
+    least and largest. Cut at gaps of a thirty-second and more, it covers less, in which
+    steps can be finer: a few stray keys far away from each other and from the others
+    cost a round each. A round groups the stored keys, and at most some 4,100 rows come
+    back. Where the keys themselves are no more, they come back instead.
     """
+    if key not in keys.ranges:
+        keys.ranges[key] = _key_ranges(keys, key)
+    return keys.ranges[key]
+
+
+def _key_ranges(keys: Pinned, key: str) -> list[tuple]:
     if keys.low is None:
         return []
-    ranges = [(int(keys.low), int(keys.high))]
+    ranges, values = [(int(keys.low), int(keys.high))], None
+    if keys.rows <= _STEPS and keys.low != keys.high:
+        found = keys.df.where(F.col(key).isNotNull()).select(key).collect()
+        values = [(v, v) for v in sorted({int(r[0]) for r in found})]
     for _ in range(_ROUNDS):
-        covered = sum(high - low + 1 for low, high in ranges)
-        if covered <= 4 * keys.rows or keys.rows <= 1:
+        covered = _covered(ranges)
+        if covered <= 4 * keys.rows:
             break
-        found = _cut(_occupied(keys.df, key, covered // _STEPS + 1))
-        left = sum(high - low + 1 for low, high in found)
-        ranges = found
-        if 2 * left > covered:
+        ranges = _cut(values or _occupied(keys.df, key, covered // _STEPS + 1), covered)
+        if 2 * _covered(ranges) > covered:
             break
     return ranges
 
 
+def _covered(ranges: list[tuple]) -> int:
+    return sum(high - low + 1 for low, high in ranges)
+
+
 def _occupied(keys: DataFrame, key: str, step: int) -> list[tuple]:
     value = F.col(key)
     start = value - value % F.lit(step).cast(keys.schema[key].dataType)
@@ -135,10 +147,10 @@ def _occupied(keys: DataFrame, key: str, step: int) -> list[tuple]:
     return sorted((int(r["low"]), int(r["high"])) for r in found.collect())
 
 
-def _cut(ranges: list[tuple]) -> list[tuple]:
-    """Neighbouring ranges joined over all but the largest gaps."""
+def _cut(ranges: list[tuple], covered: int) -> list[tuple]:
+    """Neighbouring ranges joined over all but the gaps that matter."""
     gaps = sorted(((b[0] - a[1], i) for i, (a, b) in enumerate(pairwise(ranges))), reverse=True)
-    cuts = sorted(i + 1 for gap, i in gaps[: _MOST_RANGES - 1] if gap > 1)
+    cuts = sorted(i + 1 for gap, i in gaps[: _MOST_RANGES - 1] if gap * _MOST_RANGES >= covered)
     ends = [0, *cuts, len(ranges)]
     return [(ranges[a][0], ranges[b - 1][1]) for a, b in pairwise(ends)]
 

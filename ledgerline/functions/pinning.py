@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 from weakref import WeakKeyDictionary
 
@@ -36,6 +36,8 @@ class Pinned:
     bytes: int
     low: Any = None
     high: Any = None
+    # What filters found out about the keys.
+    ranges: dict[str, list] = field(default_factory=dict, compare=False)
 
     @property
     def small(self) -> bool:

@@ -297,5 +297,5 @@ def _of_entities(microfinance: DataFrame, batches: Pinned) -> DataFrame:
     """`microfinance` without most of the records of entities that have no batch."""
     entities = batches.df.select("entity_id")
     if fits_broadcast(entities, batches.rows):
-        return microfinance.join(F.broadcast(entities.distinct()), "entity_id", "left_semi")
+        return microfinance.join(F.broadcast(entities), "entity_id", "left_semi")
     return like(microfinance, entities, ["entity_id"])
