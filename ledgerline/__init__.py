@@ -20,7 +20,7 @@ from ledgerline.operators.report import (
     latest_balances,
     latest_batch_report,
 )
-from ledgerline.plans.refresh_report import refresh_then_report
+from ledgerline.plans.refresh_report import refresh_stored, refresh_then_report
 from ledgerline.sources.tables import conform, load_table
 from ledgerline.sources.versions import StaleVersionError, VersionedTable
 
@@ -42,6 +42,7 @@ __all__ = [
     "newest_covered_periods",
     "pins",
     "refresh_batch_periods",
+    "refresh_stored",
     "refresh_then_report",
     "source_code",
     "with_entity_maximum",

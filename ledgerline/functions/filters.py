@@ -77,13 +77,17 @@ def in_ranges(rows: DataFrame, key: str, ranges: list[tuple]) -> DataFrame:
     """
     if not ranges:
         return rows.where(F.lit(False))
-    rows = rows.where(_any(F.col(key), ranges, F.lit))
+    rows = rows.where(_any(F.col(key), ranges, _literal))
     if RAW + key in rows.columns:
         kind = rows.schema[RAW + key].dataType
         rows = rows.where(_any(F.col(RAW + key), *_as_type(ranges, kind)))
     return rows
 
 
+def _literal(value: int) -> Column:
+    return F.lit(value if -(2**63) <= value < 2**63 else Decimal(value))
+
+
 def _any(column: Column, ranges: list[tuple], literal: Callable) -> Column:
     def inside(low, high) -> Column:
         return column == literal(low) if low == high else column.between(literal(low), literal(high))
@@ -94,7 +98,7 @@ def _any(column: Column, ranges: list[tuple], literal: Callable) -> Column:
 def _as_type(ranges: list[tuple], kind) -> tuple[list[tuple], Callable]:
     """The ranges as far as values of the type `kind` reach, and their literals."""
     if not isinstance(kind, DecimalType):
-        return ranges, F.lit
+        return ranges, _literal
     most = 10 ** (kind.precision - kind.scale) - 1
     reached = [(max(low, -most), min(high, most)) for low, high in ranges if low <= most and high >= -most]
     return reached, lambda value: F.lit(Decimal(value)).cast(kind)
@@ -137,7 +141,7 @@ def _covered(ranges: list[tuple]) -> int:
 
 def _occupied(keys: DataFrame, key: str, step: int) -> list[tuple]:
     value = F.col(key)
-    start = value - value % F.lit(step).cast(keys.schema[key].dataType)
+    start = value - value % _literal(step).cast(keys.schema[key].dataType)
     found = (
         keys.where(value.isNotNull())
         .groupBy(start.alias("start"))

@@ -10,7 +10,7 @@ session. They are deleted with their owner and with nothing else.
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass, field
@@ -25,6 +25,7 @@ from ledgerline.functions.hadoop import delete
 
 _block: ContextVar[str | None] = ContextVar("pins_block", default=None)
 _sessions: WeakKeyDictionary[SparkSession, str] = WeakKeyDictionary()
+_actions: dict[str, list[Callable[[], None]]] = {}
 
 
 @dataclass(frozen=True)
@@ -59,13 +60,30 @@ def pins(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _block.reset(token)
-        delete(spark, f"{_application_folder(spark)}/{name}")
+        _end(spark, name)
 
 
 def clear_pins(spark: SparkSession) -> None:
     """Delete what this session pinned outside of blocks, once it is used."""
     if spark in _sessions:
-        delete(spark, f"{_application_folder(spark)}/{_sessions.pop(spark)}")
+        _end(spark, _sessions.pop(spark))
+
+
+def at_end(spark: SparkSession, action: Callable[[], None]) -> None:
+    """Do `action` when what is pinned here is deleted."""
+    _actions.setdefault(_owner(spark), []).append(action)
+
+
+def _end(spark: SparkSession, owner: str) -> None:
+    try:
+        for action in _actions.pop(owner, []):
+            action()
+    finally:
+        delete(spark, f"{_application_folder(spark)}/{owner}")
+
+
+def _owner(spark: SparkSession) -> str:
+    return _block.get() or _sessions.setdefault(spark, uuid.uuid4().hex)
 
 
 def pin(df: DataFrame, bounds: str | None = None) -> Pinned:
@@ -89,8 +107,7 @@ def pin(df: DataFrame, bounds: str | None = None) -> Pinned:
 
 def new_folder(spark: SparkSession) -> str:
     """A path in the shared folder that is not used yet and goes with its owner's pins."""
-    owner = _block.get() or _sessions.setdefault(spark, uuid.uuid4().hex)
-    return f"{_application_folder(spark)}/{owner}/{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{_owner(spark)}/{uuid.uuid4().hex}"
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -131,4 +148,6 @@ def _shared_folder(spark: SparkSession) -> str:
     if not folder:
         # The warehouse is the other folder that all executors of a cluster reach.
         folder = spark.conf.get("spark.sql.warehouse.dir")
+        if folder.startswith(("file:", "/")) and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return folder.rstrip("/")

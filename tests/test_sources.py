@@ -1,8 +1,13 @@
 """Checked loading, versioned storage and pinned results."""
 
 import os
+import random
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,10 +20,11 @@ from ledgerline import (
     latest_batch_report,
     load_table,
     refresh_batch_periods,
+    refresh_stored,
     refresh_then_report,
     with_entity_maximum,
 )
-from ledgerline.functions import pinning
+from ledgerline.functions import hadoop, pinning
 from ledgerline.functions.pinning import clear_pins, pin, pins
 from ledgerline.schemas import ENTITY_SOURCES, LOAD_BATCHES
 from ledgerline.sources.tables import TABLES
@@ -295,3 +301,137 @@ def test_without_one_it_is_the_warehouse():
         conf = {"spark.sql.warehouse.dir": "hdfs://host/warehouse/"}
 
     assert pinning._shared_folder(Session()) == "hdfs://host/warehouse"
+
+
+def _files(store):
+    root = Path(store.root)
+    return {str(p.relative_to(root)) for p in root.rglob("*.parquet")}
+
+
+def test_a_refresh_leaves_other_ranges_as_they_are(spark, tmp_path):
+    store = VersionedTable(spark, str(tmp_path / "batches"), LOAD_BATCHES, parts=10)
+    batches = spark.range(1000).selectExpr(
+        "id AS batch_id", "id % 7 AS entity_id", "DATE '2024-01-31' AS period_date",
+        "CAST(NULL AS DATE) AS cancelled_at", "CAST(IF(id BETWEEN 410 AND 480, 8, 3) AS INT) AS source_type",
+        "concat('f', id) AS file_name",
+    )
+    balances = spark.range(1000).selectExpr(
+        "id AS batch_id", "id AS person_id", "1L AS balance_id", "DATE '2024-03-31' AS period_date"
+    )
+    microfinance = spark.range(1000).selectExpr("id AS person_id", "1L AS balance_id", "id % 7 AS entity_id")
+    codes = spark.sql("SELECT 'DELINQUENCY' AS name, 8 AS code")
+    first = store.write(batches, None)
+    before = _files(store)
+    wanted = refresh_batch_periods(batches, balances, microfinance, codes, SOURCE)
+    second = refresh_stored(store, first, balances, microfinance, codes, SOURCE)
+    new = _files(store) - before
+    assert sorted(store.read(second).collect()) == sorted(wanted.collect())
+    assert sorted(store.read(first).collect()) == sorted(batches.collect())
+    # Batches 410 to 480 lie in two or three of ten parts.
+    assert 1 <= len({os.path.dirname(f) for f in new}) <= 3
+    assert before < _files(store)
+    # Nothing changes any more: no part is written.
+    third = refresh_stored(store, second, balances, microfinance, codes, SOURCE)
+    assert _files(store) == before | new
+    clear_pins(spark)
+    assert store.expire(keep=1) == [first, second]
+    assert sorted(store.read(third).collect()) == sorted(wanted.collect())
+    assert len(_files(store)) < len(before | new)
+
+
+def test_leased_versions_do_not_expire(spark, edge, store):
+    clear_pins(spark)
+    for base in (None, 1, 2):
+        store.write(edge.batches, base=base)
+    with pins(spark):
+        reading = store.read(1)
+        assert store.expire(keep=1) == [2]
+        assert reading.count() == 11 and store.versions() == [1, 3]
+        # The lease of a reader that died long ago does not count.
+        assert store.expire(keep=1, lease_seconds=-60) == [1]
+    with pins(spark):
+        store.read(3)
+    store.write(edge.batches, base=3)
+    assert store.expire(keep=1) == [3]
+
+
+def test_a_late_writer_cannot_commit_an_expired_number(edge, store, monkeypatch):
+    store.write(edge.batches, base=None)
+    made = store._written
+
+    def slow(*args):
+        monkeypatch.setattr(store, "_written", made)
+        # Others take the number, go on, and let it expire.
+        store.release(2)
+        store.write(edge.batches, base=1)
+        store.write(edge.batches, base=2)
+        store.expire(keep=1)
+        return made(*args)
+
+    monkeypatch.setattr(store, "_written", slow)
+    with pytest.raises(StaleVersionError):
+        store.write(edge.batches.limit(1), base=1)
+    assert store.versions() == [3]
+
+
+def test_empty_tables_and_null_keys_are_stored(spark, edge, store):
+    store.write(edge.batches.limit(0), base=None)
+    assert store.read().count() == 0
+    nulls = edge.batches.withColumn("batch_id", F.lit(None).cast("long"))
+    store.write(nulls, base=1)
+    assert sorted(store.read().collect(), key=repr) == sorted(nulls.collect(), key=repr)
+
+
+class _ObjectStore:
+    """A folder whose files are created after a look, so that two writers can create one."""
+
+    def __init__(self, root):
+        self.root, self.names = root, {}
+
+    def getUri(self):
+        return SimpleNamespace(getScheme=lambda: "s3a")
+
+    def exists(self, where):
+        return True
+
+    def createNewFile(self, where):
+        new = where.name not in self.names
+        time.sleep(random.random() / 50)
+        self.names[where.name] = True
+        return new
+
+    def listStatus(self, where):
+        path = [SimpleNamespace(getName=lambda n=n: n) for n in list(self.names)]
+        return [SimpleNamespace(getPath=lambda p=p: p, getModificationTime=lambda: 0) for p in path]
+
+    def delete(self, where, _):
+        self.names.pop(where.name, None)
+
+
+class _Where:
+    def __init__(self, path):
+        self.path, self.name = path, path.rsplit("/", 1)[1]
+
+    def suffix(self, more):
+        return _Where(self.path + more)
+
+
+def test_one_writer_wins_where_files_are_not_created_atomically(monkeypatch):
+    for _ in range(5):
+        files = _ObjectStore("s3a://bucket/table")
+        monkeypatch.setattr(hadoop, "_open", lambda spark, path, files=files: (files, _Where(path)))
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda _: hadoop.claim(None, "s3a://bucket/table/version-000002.claimed", 0.3), range(8)))
+        assert sum(won) == 1 and len(files.names) == 1
+        # Who comes later finds the claim.
+        assert not hadoop.claim(None, "s3a://bucket/table/version-000002.claimed", 0.01)
+
+
+def test_machine_local_folders_are_refused_on_a_cluster():
+    for folder in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse"):
+
+        class Session:
+            conf = {"spark.sql.warehouse.dir": folder, "spark.master": "yarn"}
+
+        with pytest.raises(ValueError, match="share"):
+            pinning._shared_folder(Session())
