@@ -4,10 +4,12 @@ import hashlib
 import math
 import random
 import re
+import struct
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerline.llm import decontamination, imatch, lm_score, secrets, toxicity
@@ -76,25 +78,93 @@ def test_fingerprint_query_edits_with_the_next_text(spark):
         assert by_text.setdefault(text, found[i].fingerprint) == found[i].fingerprint
     edited = [r.near_edited for r in found.values()]
     other = [r.near_next for r in found.values()]
-    assert sum(edited) / len(edited) > 0.1 > 0.02 > sum(other) / len(other)
-
-
-def test_next_text_over_many_ranges_equals_a_sort(spark, edge_docs, no_docs, monkeypatch):
-    monkeypatch.setattr(imatch, "NEIGHBOURS", 10)
-    rows = random_rows(21, 90) + [(10**6, "far", "a"), (None, "first", "a")]
-    rows, window = imatch.with_next(documents(spark, rows))[0].where("NOT guest").collect(), None
-    ordered = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0))
-    assert len(ordered) == 92
-    for a, b in zip(ordered, [*ordered[1:], ordered[0]], strict=True):
-        assert a.next_text == b.text
+    assert sum(edited) / len(edited) > 0.3 > 0.03 > sum(other) / len(other)
+
+
+@pytest.mark.parametrize("kind", ["outlier", "wide", "null", "equal", "string"])
+def test_any_ids_are_edited_with_the_next(spark, kind, monkeypatch):
+    monkeypatch.setattr(imatch, "_PIECE", 7)
+    rng = random.Random(kind)
+    texts = [t for _, t, _ in random_rows(22, 60)]
+    ids = {
+        "outlier": lambda i: 10**15 if i == 30 else i,
+        "wide": lambda i: rng.choice([-9 * 10**18, 9 * 10**18, rng.randrange(-(2**63), 2**63)]),
+        "null": lambda i: None,
+        "equal": lambda i: 5,
+        "string": lambda i: rng.choice([None, "", "a", "b", f"c{i}"]),
+    }[kind]
+    rows = [(ids(i), t) for i, t in enumerate(texts)] + [(ids(0), texts[0])] * 20
+    docs = spark.createDataFrame(rows, f"doc_id {'string' if kind == 'string' else 'long'}, text string")
+    hashes = {r[0]: r[1] for r in docs.select("text", F.xxhash64("text")).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or (0 if kind != "string" else ""), hashes[r[1]]))
+    wanted = []
+    for place, (i, text) in enumerate(order):
+        taken, following = len(text) // 4, order[(place + 1) % len(order)][1]
+        edited = text[: len(text) - taken] + following[:taken]
+        wanted.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    found = imatch.edit_likeness(docs).collect()
+    assert sorted([(r.doc_id, r.n_chars, r.edited_sha256) for r in found], key=repr) == sorted(wanted, key=repr)
+    # Copies are followed by themselves.
+    assert sum(r.near_next == 1.0 for r in found) >= 20
+
+
+def test_edge_rows_have_fingerprints(edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
-        assert imatch.with_next(docs)[0].where("NOT guest").count() == docs.count()
+        assert imatch.edit_likeness(docs).count() == docs.count()
         assert imatch.fingerprints(docs).count() == docs.count()
 
 
+def _plain_fingerprints(spark, texts, low, high):
+    """The band, the sorted terms, the subsets and their hashes, in plain Python."""
+
+    def signed(value):
+        return value - 2**64 if value >= 2**63 else value
+
+    def hash_of_longs(values, seed=42):
+        for v in values:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", v), seed)
+        return seed
+
+    terms = [
+        {signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in re.split(imatch._BETWEEN_TERMS, t.lower()) if w}
+        for t in texts
+    ]
+    counts = Counter(w for own in terms for w in own)
+    band = {w for w, n in counts.items() if low * len(texts) <= n <= high * len(texts)}
+    found = []
+    for own in terms:
+        used = sorted(own & band or own)
+        subsets = [used]
+        for level in range(1, imatch.LEVELS + 1):
+            for family in range(1, imatch.FAMILIES + 1):
+                masks = range(level)
+                subsets.append(
+                    [w for w in used if not any(
+                        xxhash.xxh64_intdigest(struct.pack("<i", family), hash_of_longs([w])) >> k & 1 for k in masks
+                    )]
+                )
+        parts = []
+        for place, subset in enumerate(subsets):
+            digest = f"{hash_of_longs(subset):016x}"[-8:]
+            parts.append("-" * 8 if not subset else "+" * 8 if place and len(subset) > imatch.MOST_TERMS else digest)
+        found.append("".join(parts))
+    return found
+
+
+def test_fingerprints_equal_plain_python(spark):
+    texts = [t for _, t, _ in random_rows(23, 150, words=60, vocabulary=400)]
+    docs = documents(spark, [(i, t, "a") for i, t in enumerate(texts)])
+    found = {r.doc_id: r.fingerprint for r in imatch.fingerprints(docs).collect()}
+    wanted = _plain_fingerprints(spark, texts, imatch.LOW, imatch.HIGH)
+    assert [found[i] for i in range(len(texts))] == wanted
+    assert len({f for f in wanted}) > 50
+
+
 def test_likeness(spark):
-    frame = spark.createDataFrame([("a" * 248, "a" * 248), ("-" * 248, "-" * 248), ("a" * 248, "b" * 248)], "a string, b string")
-    assert [r[0] for r in frame.select(imatch.likeness("a", "b")).collect()] == [1.0, 1.0, 0.0]
+    pairs = [("a" * 248, "a" * 248), ("-" * 248, "-" * 248), ("a" * 248, "b" * 248), ("+" * 248, "-" * 248),
+             ("h" * 8 + "+" * 80 + "a" * 80 + "-" * 80, "x" * 8 + "+" * 80 + "a" * 40 + "b" * 40 + "-" * 80)]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    assert [r[0] for r in frame.select(imatch.likeness("a", "b")).collect()] == [1.0, 1.0, 0.0, 0.0, 0.5]
 
 
 def _toxic_rows(number):
