@@ -67,12 +67,13 @@ def drop_shared_lines(
     same = (F.col("text_hash") == F.col("in_text")) & F.col("doc_id").eqNullSafe(
         F.col("in_doc")
     )
-    kept = F.concat_ws(
-        "\n", F.filter(lines, lambda _, i: ~F.array_contains("dropped", i))
-    )
-    return rows.join(dropped, same, "left").select(
+    # A column of its own, which is split once; positions are a set difference.
+    joined = rows.join(dropped, same, "left").withColumn("lines", lines)
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "dropped")
+    kept = F.concat_ws("\n", F.transform(places, lambda place: F.get(F.col("lines"), place)))
+    return joined.select(
         "doc_id",
-        F.size(lines).cast("long").alias("n_lines"),
+        F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept).alias("kept"),
     )

@@ -1,5 +1,6 @@
 """Line dedup, sharding and mixing against plain Python, on edge rows and test data."""
 
+import time
 import hashlib
 import re
 import string
@@ -164,3 +165,14 @@ def test_water_filling_with_too_little_room_and_without_weights(spark):
     assert found == {"a": 10.0, "b": 5.0, "c": 0.0, "d": 0.0}
     found = {r.name: r.target for r in mixing.water_fill(table, 12.0).collect()}
     assert found == {"a": 7.0, "b": 5.0, "c": 0.0, "d": 0.0}
+
+
+def test_many_dropped_lines_of_one_text_take_no_square(spark):
+    lines = [f"A line that stands in a good number of documents, number {i}" for i in range(80_000)]
+    rows = [(i, "\n".join([f"own {i}", *lines]), "a") for i in range(5)]
+    start = time.time()
+    found = {r.doc_id: r for r in line_dedup.drop_shared_lines(documents(spark, rows)).collect()}
+    assert time.time() - start < 45
+    assert [found[i].n_dropped for i in range(5)] == [80_000] * 4 + [0]
+    assert [found[i].kept for i in range(4)] == [f"own {i}" for i in range(4)]
+    assert found[4].kept == rows[4][1]
