@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -301,3 +302,56 @@ def test_block_max_wand_equals_full_scores():
         least = rng.uniform(0.3, 2.5)
         got = dict(index.search(terms, least))
         assert got == pytest.approx({i: s for i, s in full.items() if s >= least})
+
+
+@pytest.mark.parametrize("keys", [0, 20, 100, 500])
+def test_false_alarms_are_bounded(spark, keys):
+    rng = random.Random(keys)
+    known = ["".join(rng.choices("bcdfghklmnprst", k=1) + rng.choices("aeiou", k=1) + rng.choices("bdglmnrst", k=rng.randint(1, 4))) for _ in range(300)]
+    names = {"".join(w.capitalize() for w in rng.choices(known, k=4)) + str(rng.randrange(10)) for _ in range(700)}
+    names = [n for n in names if len(n) >= 16][:500]
+    real = ["".join(rng.choices(BASE64, k=rng.choice([32, 40, 44]))) for _ in range(keys)]
+    rows = [(i, f"see {x} there", "a") for i, x in enumerate(real + names)]
+    found = {
+        r.doc_id for r in secrets.find_secrets(documents(spark, rows)).collect() if any(s.kind == "random" for s in r.secrets)
+    }
+    false = len([i for i in found if i >= keys])
+    assert len(names) == 500 and len(found) - false >= 0.8 * keys
+    assert false <= max(0.1 * len(found), 3)
+
+
+def test_battery_equals_plain_statistics(spark):
+    rng = random.Random(9)
+    tokens = ["".join(rng.choices(BASE64, k=rng.randint(16, 60))) for _ in range(30)] + ["aB3" * 9, "GetUserAccountById7"]
+    frame = spark.createDataFrame([(t,) for t in tokens], "token string")
+    found = {r.token: r.p_random for r in secrets.with_randomness(frame).collect()}
+    assert len(found) > 25
+
+    def tail(z):
+        return max(math.erfc(z / math.sqrt(2)) / 2, 1e-300)
+
+    for token, p in found.items():
+        v = [BASE64.index(c) for c in token]
+        n, k = len(v), 64
+        chi = sum(c * c for c in Counter(v).values()) * k / n - n
+        kinds = Counter("a" if c.islower() else "A" if c.isupper() else "0" for c in token)
+        between = sum((kinds[c] - n * s / 64) ** 2 / (n * s / 64) for c, s in (("a", 26), ("A", 26), ("0", 12)))
+        z_chi = (chi - between - 61) / math.sqrt(2 * 61 * (n - 1) / n)
+        high = sum(x >= 32 for x in v)
+        turns = sum((a >= 32) != (b >= 32) for a, b in zip(v, v[1:], strict=False))
+        both = 2 * high * (n - high)
+        z_runs = (turns - both / n) / math.sqrt(both * (both - n) / (n * n * (n - 1)))
+        mean = sum(v) / n
+        spread = sum((x - mean) ** 2 for x in v)
+        serial = (sum((a - mean) * (b - mean) for a, b in zip(v, v[1:], strict=False)) / spread + 1 / n) * math.sqrt(n)
+        parts = [tail(z_chi), math.exp(-between / 2), min(1, 2 * tail(abs(z_runs))), min(1, 2 * tail(abs(serial)))]
+        half = -sum(math.log(max(x, 1e-300)) for x in parts)
+        assert p == pytest.approx(math.exp(-half) * (1 + half + half**2 / 2 + half**3 / 6), rel=1e-3, abs=1e-9)
+
+
+def test_many_matches_in_one_text_take_no_square(spark):
+    text = " ".join(f"token = abcdefghijklmnop{i}" for i in range(40_000))
+    start = time.time()
+    (row,) = secrets.find_secrets(documents(spark, [(1, text, "a")])).collect()
+    assert len(row.known) == 40_000 and time.time() - start < 30
+    assert [(s.kind, s.start, s.end) for s in row.known[-3:]] == _plain_secrets(text)[-3:]
