@@ -23,9 +23,8 @@ CLASSES = WORDS = 32
 # Rows of the two tables of hashed feature weights.
 ROWS = 1 << 14
 FEATURES = 4
-# Each round learns from its share of the training texts, and every STEP-th token of
-# them is an example.
-ROUNDS, STEP = 2, 6
+# Each round learns from all tokens of its share of the training texts.
+ROUNDS = 2
 # The length of a step, and what holds back features that were seen seldom.
 RATE, CAUTION = 0.3, 10.0
 BATCH = 4096
@@ -203,7 +202,7 @@ def _learner(vocabulary: Vocabulary, weights: np.ndarray, seed: int):
             for _, texts in _in_chunks(batch, "text"):
                 ids, _, _ = _encode(vocabulary, texts)
                 at = np.flatnonzero(ids != len(vocabulary.ids) + 1)
-                at = np.random.default_rng(seed).permutation(at[seed % STEP :: STEP])
+                at = np.random.default_rng(seed).permutation(at)
                 for start in range(0, len(at), BATCH):
                     model.learn(ids, at[start : start + BATCH], squares)
         change = np.column_stack([model.weights - weights, squares > 0]).astype("<f4")
