@@ -17,17 +17,21 @@ from ledgerline.llm.common import documents, whole
 # Words that are at least this share of all training tokens go to every task, so
 # there are at most 1/HEAD_SHARE of them. Others meet their counts in a join.
 HEAD_SHARE = 2e-6
-# The softmax has CLASSES classes: the most frequent words, WORDS in each class but
-# the last, which stands for all other words.
-CLASSES = WORDS = 32
+# The softmax has CLASSES classes. The most frequent words fill OWN of them, WORDS in
+# each; the others share one class for each of the most frequent endings, of ENDING
+# bytes, and one for all other endings.
+CLASSES = WORDS = 64
+OWN, ENDING = 16, 2
 # Rows of the two tables of hashed feature weights.
 ROWS = 1 << 14
 FEATURES = 4
 # Each round learns from all tokens of its share of the training texts.
 ROUNDS = 2
 # The length of a step, and what holds back features that were seen seldom.
-RATE, CAUTION = 0.3, 10.0
+RATE, CAUTION = 0.3, 3.0
 BATCH = 4096
+# Rows of a batch with more equal features than that are summed one feature at a time.
+LONG_RUN = 24
 # Tokens scored at once, and different words counted before they are passed on.
 CHUNK, MOST_COUNTED = 1 << 16, 500_000
 # Rows of weights that are summed together, and learners summed in one step.
@@ -38,26 +42,58 @@ _NEVER = np.float32(-1e9)
 
 
 class Vocabulary:
-    """Counts of the training tokens: all of them, the head's, the modelled words'."""
+    """Counts of the training tokens: all of them, the head's, the modelled words'.
 
-    def __init__(self, head: list[tuple[bytes, int]], tokens: int, distinct: int):
+    `head` has the frequent words with their counts, `endings` the tokens and the
+    distinct words of each ending.
+    """
+
+    def __init__(
+        self, head: list[tuple[bytes, int]], tokens: int, endings: list[tuple[bytes, int, int]]
+    ):
         head = sorted(head, key=lambda x: (x[0] != END, -x[1], x[0]))
         self.ids = {word: i for i, (word, _) in enumerate(head)}
         self.counts = np.array([c for _, c in head], np.int64)
-        self.tokens, self.distinct = tokens, distinct
-        self.modelled = min(len(head), (CLASSES - 1) * WORDS)
-        own = self.counts[: self.modelled]
-        # The other words share one class, in which a word counts once more than seen.
-        self.rest = int(tokens - own.sum() + distinct - self.modelled + 1)
+        self.tokens, self.distinct = tokens, sum(d for _, _, d in endings)
+        self.modelled = min(len(head), OWN * WORDS)
+        # In a shared class a word counts once more than seen, and one stands for all unseen.
+        left = {ending: n + distinct for ending, n, distinct in endings}
+        for word, n in head[: self.modelled]:
+            left[word[-ENDING:]] -= n + 1
+        named = sorted(left, key=lambda ending: (-left[ending], ending))[: CLASSES - OWN - 1]
+        self.shared = {ending: OWN + i for i, ending in enumerate(named)}
+        self.rest = np.ones(CLASSES, np.int64)
+        for ending, n in left.items():
+            self.rest[self.shared.get(ending, CLASSES - 1)] += n
+        # Symbols are the words of the head, then the classes of other words, then a start.
+        self.start = len(head) + CLASSES
+        classes = [
+            i // WORDS if i < self.modelled else self.shared_class(word)
+            for i, (word, _) in enumerate(head)
+        ]
+        self.classes = np.array([*classes, *range(CLASSES), 0], np.int64)
+        # What a symbol is to the words after it: the word if it is modelled, else its class.
+        self.contexts = self.modelled + self.classes
+        self.contexts[: self.modelled] = np.arange(self.modelled)
+        self.contexts[self.start] = self.modelled + CLASSES
         words = np.full((CLASSES, WORDS), _NEVER)
-        words.flat[: self.modelled] = np.log(np.maximum(own, 1))
+        words.flat[: self.modelled] = np.log(np.maximum(self.counts[: self.modelled], 1))
         sums = np.log(np.exp(words, dtype=np.float64).sum(axis=1) + 1e-300)
         self.word_offsets = np.where(words > _NEVER, words - sums[:, None], _NEVER).astype(np.float32)
         used = -(-self.modelled // WORDS)
-        sums[used : CLASSES - 1] = _NEVER
-        sums[CLASSES - 1] = math.log(self.rest)
+        sums[used:OWN] = _NEVER
+        sums[OWN:] = np.log(self.rest[OWN:])
+        sums[OWN + len(named) : CLASSES - 1] = _NEVER
         self.class_offsets = sums.astype(np.float32)
 
+    def shared_class(self, word: bytes) -> int:
+        return self.shared.get(word[-ENDING:], CLASSES - 1)
+
+    def symbols(self, words: list[bytes]) -> list[int]:
+        get, other = self.ids.get, len(self.ids)
+        # The symbol 0 is END, which no word is.
+        return [get(word) or other + self.shared_class(word) for word in words]
+
 
 def _hashed(kind: int, *values: np.ndarray) -> np.ndarray:
     mixed = np.full(len(values[0]), kind + 1, np.uint64)
@@ -67,9 +103,9 @@ def _hashed(kind: int, *values: np.ndarray) -> np.ndarray:
     return (mixed % np.uint64(ROWS)).astype(np.int64)
 
 
-def features(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+def features(contexts: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Rows of the features before each place: two n-grams and two skips."""
-    one, two, three = ids[at - 1], ids[at - 2], ids[at - 3]
+    one, two, three = contexts[at - 1], contexts[at - 2], contexts[at - 3]
     return np.stack(
         [_hashed(0, one), _hashed(1, one, two), _hashed(2, two), _hashed(3, three)], axis=1
     )
@@ -80,6 +116,21 @@ def _log_softmax(scores: np.ndarray) -> np.ndarray:
     return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
 
+def _sum_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows of `values` from each start to the next: a faster add.reduceat."""
+    lengths = np.diff(starts, append=len(values))
+    sums = values[starts]
+    for run in np.flatnonzero(lengths > LONG_RUN):
+        sums[run] = values[starts[run] : starts[run] + lengths[run]].sum(axis=0)
+    short = np.flatnonzero((lengths > 1) & (lengths <= LONG_RUN))
+    nth = 1
+    while len(short):
+        sums[short] += values[starts[short] + nth]
+        nth += 1
+        short = short[lengths[short] > nth]
+    return sums
+
+
 class Model:
     """Weights of the features for classes, and for words within a class."""
 
@@ -102,39 +153,41 @@ class Model:
             scores = scores + self.weights[of_class[:, i]]
         return _log_softmax(scores + self.vocabulary.word_offsets[classes]), of_class
 
-    def score(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each modelled word or of the last class."""
-        rows = features(ids, at)
+    def score(self, ids: np.ndarray, contexts: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of each modelled word, or of the class of others."""
+        rows = features(contexts, at)
         target = ids[at]
-        own = target < self.vocabulary.modelled
-        classes = np.where(own, target // WORDS, CLASSES - 1)
-        each = np.arange(len(at))
-        found = self._classes(rows)[each, classes].astype(np.float64)
-        if own.any():
+        classes = self.vocabulary.classes[target]
+        found = self._classes(rows)[np.arange(len(at)), classes].astype(np.float64)
+        own = np.flatnonzero(target < self.vocabulary.modelled)
+        if len(own):
             words, _ = self._words(rows[own], classes[own])
-            found[own] += words[np.arange(len(words)), target[own] % WORDS]
+            found[own] += words[np.arange(len(own)), target[own] % WORDS]
         return found
 
-    def learn(self, ids: np.ndarray, at: np.ndarray, squares: np.ndarray) -> None:
+    def learn(
+        self, ids: np.ndarray, contexts: np.ndarray, at: np.ndarray, squares: np.ndarray
+    ) -> None:
         """One gradient step per feature row on a batch, scaled by past gradients."""
-        rows = features(ids, at)
+        rows = features(contexts, at)
         target = ids[at]
-        own = target < self.vocabulary.modelled
-        classes = np.where(own, target // WORDS, CLASSES - 1)
+        classes = self.vocabulary.classes[target]
         missed = -np.exp(self._classes(rows))
         missed[np.arange(len(at)), classes] += 1
         changes = [(rows, missed)]
-        if own.any():
+        own = np.flatnonzero(target < self.vocabulary.modelled)
+        if len(own):
             words, of_class = self._words(rows[own], classes[own])
             missed = -np.exp(words)
-            missed[np.arange(len(words)), target[own] % WORDS] += 1
+            missed[np.arange(len(own)), target[own] % WORDS] += 1
             changes.append((of_class, missed))
         for rows, missed in changes:
-            flat = rows.ravel()
+            # Short integers are sorted by radix.
+            flat = rows.ravel().astype(np.uint16)
             order = np.argsort(flat, kind="stable")
-            starts = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            touched = flat[order][starts]
-            step = np.add.reduceat(missed[order // FEATURES], starts, axis=0)
+            starts = np.flatnonzero(np.diff(flat[order].astype(np.int64), prepend=-1))
+            touched = flat[order[starts]]
+            step = _sum_runs(missed[order // FEATURES], starts)
             squares[touched] += np.square(step).mean(axis=1)
             self.weights[touched] += RATE * step / np.sqrt(squares[touched, None] + CAUTION)
 
@@ -167,15 +220,15 @@ def _counted(counts: Counter[bytes]) -> pa.RecordBatch:
 
 
 def _encode(vocabulary: Vocabulary, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list]:
-    """Ids of all texts, each behind three starts and before an end; its words."""
-    tail, start = len(vocabulary.ids), len(vocabulary.ids) + 1
-    get, ids, ends, words = vocabulary.ids.get, [], [], []
+    """Symbols of all texts, each behind three starts and before an end; its words."""
+    (end,) = vocabulary.symbols([END]) if not vocabulary.ids else (0,)
+    ids, ends, words = [], [], []
     for text in texts:
         found = _split(text)
         words.append(found)
-        ids += (start, start, start)
-        ids += [get(word, tail) for word in found]
-        ids.append(get(END, tail))
+        ids += (vocabulary.start, vocabulary.start, vocabulary.start)
+        ids += vocabulary.symbols(found)
+        ids.append(end)
         ends.append(len(ids))
     return np.array(ids, np.int64), np.array(ends, np.int64), words
 
@@ -201,10 +254,11 @@ def _learner(vocabulary: Vocabulary, weights: np.ndarray, seed: int):
         for batch in batches:
             for _, texts in _in_chunks(batch, "text"):
                 ids, _, _ = _encode(vocabulary, texts)
-                at = np.flatnonzero(ids != len(vocabulary.ids) + 1)
+                contexts = vocabulary.contexts[ids]
+                at = np.flatnonzero(ids != vocabulary.start)
                 at = np.random.default_rng(seed).permutation(at)
                 for start in range(0, len(at), BATCH):
-                    model.learn(ids, at[start : start + BATCH], squares)
+                    model.learn(ids, contexts, at[start : start + BATCH], squares)
         change = np.column_stack([model.weights - weights, squares > 0]).astype("<f4")
         leaf = TaskContext.get().partitionId()
         for number in range(0, len(change), SLICE):
@@ -257,8 +311,8 @@ def train(vocabulary: Vocabulary, texts: DataFrame, seed: int = 3) -> Model:
 def _scorer(model: Model):
     vocabulary = model.vocabulary
     base = math.log10(vocabulary.tokens + vocabulary.distinct + 1)
-    in_rest = math.log10(vocabulary.rest)
-    plus_one = np.append(np.log10(vocabulary.counts + 1), [0.0, 0.0])
+    in_rest = np.log10(vocabulary.rest)
+    plus_one = np.append(np.log10(vocabulary.counts + 1), np.zeros(CLASSES + 1))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,17 +329,17 @@ def _scorer(model: Model):
 
     def _score(texts: list[bytes]) -> tuple:
         ids, ends, words = _encode(vocabulary, texts)
-        tail, start = len(vocabulary.ids), len(vocabulary.ids) + 1
+        start, contexts = vocabulary.start, vocabulary.contexts[ids]
         values = np.zeros((3, len(ids)))
         at = np.flatnonzero(ids != start)
         for first in range(0, len(at), BATCH):
             some = at[first : first + BATCH]
-            values[0, some] = model.score(ids, some) / math.log(10)
-        known = (ids < tail).astype(np.int64)
+            values[0, some] = model.score(ids, contexts, some) / math.log(10)
+        known = (ids < len(vocabulary.ids)).astype(np.int64)
         values[1] = np.where(ids == start, 0, plus_one[ids] - base)
-        # Words of the last class: their share of it, but for what counts of the tail add.
+        # Words of shared classes: their share of it, but for what counts of the tail add.
         other = (ids >= vocabulary.modelled) & (ids != start)
-        values[2] = np.where(other, plus_one[ids] - in_rest, 0)
+        values[2] = np.where(other, plus_one[ids] - in_rest[vocabulary.classes[ids]], 0)
         starts = np.append(0, ends[:-1])
         sums = np.add.reduceat(values, starts, axis=1)
         rare = [
@@ -312,8 +366,9 @@ def lm_scores(docs: DataFrame, training: Column) -> DataFrame:
     base_score and score. Tokens are words with A-Z lowered, and an end.
     `base_score` adds one to every count; `score` is the model's: a class given the
     two words before, alone and together, and two skipped ones, times a word of the
-    class given the same. All words but the most frequent share a class, in which they
-    are drawn by their counts plus one.
+    class given the same. The most frequent words have classes of their own; other
+    words share a class with those of the same ending, in which they are drawn by
+    their counts plus one, and stand for that class where they precede a word.
 
     Counts cover all training texts and meet each text exactly: those of frequent
     words in the tasks, those of the others in a join with what a text has of them.
@@ -334,7 +389,11 @@ def lm_scores(docs: DataFrame, training: Column) -> DataFrame:
     tokens = counts.df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     is_head = (F.col("n") >= HEAD_SHARE * tokens) | (F.octet_length("word") == 0)
     head = [(bytes(r["word"]), r["n"]) for r in counts.df.where(is_head).collect()]
-    vocabulary = Vocabulary(head, tokens, counts.rows)
+    by_ending = counts.df.groupBy(F.expr(f"substring(word, -{ENDING}, {ENDING})").alias("ending"))
+    # As many as there are strings of two bytes at most.
+    endings = by_ending.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()
+    endings = [(bytes(r["ending"]), r["n"], r["distinct"]) for r in endings]
+    vocabulary = Vocabulary(head, tokens, endings)
     model = train(vocabulary, learned) if head else Model(vocabulary)
     doc_kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (

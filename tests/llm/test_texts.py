@@ -9,6 +9,7 @@ import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -242,6 +243,53 @@ def test_base_scores_equal_plain_and_the_model_beats_them(spark, small, monkeypa
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_probabilities_sum_to_one_in_every_context():
+    rng = np.random.default_rng(4)
+    letters = [b"a", b"b", "é".encode(), b"d", b"e", b"f", b"g"]
+    words = {b"".join(rng.choice(letters, rng.integers(1, 6))) for _ in range(2500)} - {b""}
+    counts = {lm_score.END: 40} | {w: int(rng.integers(1, 300)) for w in sorted(words)}
+    endings = Counter()
+    distinct = Counter()
+    for word, n in counts.items():
+        endings[word[-lm_score.ENDING :]] += n
+        distinct[word[-lm_score.ENDING :]] += 1
+    head = [(w, n) for w, n in counts.items() if n > 20 or w == lm_score.END]
+    vocabulary = lm_score.Vocabulary(
+        head, sum(counts.values()), [(e, n, distinct[e]) for e, n in endings.items()]
+    )
+    assert len(head) > vocabulary.modelled > 0 and len(vocabulary.shared) > 5
+    model = lm_score.Model(vocabulary)
+    model.weights[:] = rng.normal(0, 0.5, model.weights.shape)
+    tokens = [*vocabulary.symbols([w for w in counts if w]), 0]
+    number = np.array([*(n for w, n in counts.items() if w), counts[lm_score.END]])
+    for before in (vocabulary.start, 3, tokens[-5], vocabulary.modelled + 1):
+        # Each word after the same three symbols, and one unseen word of each shared class.
+        unseen = [*vocabulary.shared.values(), lm_score.CLASSES - 1]
+        targets = np.array([*tokens, *(len(vocabulary.ids) + c for c in unseen)])
+        weight = np.append(number, np.zeros(len(unseen)))
+        ids = np.full(4 * len(targets), before)
+        ids[3::4] = targets
+        logs = model.score(ids, vocabulary.contexts[ids], np.arange(3, len(ids), 4))
+        shared = targets >= vocabulary.modelled
+        share = (weight + 1) / vocabulary.rest[vocabulary.classes[targets]]
+        assert np.sum(np.exp(logs) * np.where(shared, share, 1)) == pytest.approx(1, abs=1e-4)
+
+
+def test_runs_of_rows_are_summed():
+    rng = np.random.default_rng(1)
+    values = rng.normal(size=(400, 3))
+    starts = np.array([0, 1, 2, 5, 29, 53, 54, 200, 399])
+    sums = np.add.reduceat(values, starts, axis=0)
+    assert np.allclose(lm_score._sum_runs(values, starts), sums)
+
+
+def test_held_out_texts_gain_a_fifth_of_a_decade_a_token(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = lm_score.lm_scores(docs, ~lm_score.held_out()).where(lm_score.held_out())
+    sums = found.agg(F.sum("n_tokens"), F.sum("score"), F.sum("base_score")).first()
+    assert (sums[1] - sums[2]) / sums[0] > 0.2
+
+
 def test_language_model_on_edge_rows(edge_docs, no_docs):
     assert lm_score.lm_scores(no_docs, F.lit(True)).isEmpty()
     scores = lm_score.lm_scores(edge_docs, F.col("doc_id") > 4).collect()
