@@ -22,7 +22,7 @@ HEAD_SHARE = 2e-6
 # bytes, and one for all other endings.
 CLASSES = WORDS = 64
 OWN, ENDING = 16, 2
-# Rows of the two tables of hashed feature weights.
+# Rows of the two tables of hashed feature weights: a power of two.
 ROWS = 1 << 14
 FEATURES = 4
 # Each round learns from all tokens of its share of the training texts.
@@ -91,8 +91,9 @@ class Vocabulary:
 
     def symbols(self, words: list[bytes]) -> list[int]:
         get, other = self.ids.get, len(self.ids)
+        shared, last = {e: other + c for e, c in self.shared.items()}.get, other + CLASSES - 1
         # The symbol 0 is END, which no word is.
-        return [get(word) or other + self.shared_class(word) for word in words]
+        return [get(word) or shared(word[-ENDING:], last) for word in words]
 
 
 def _hashed(kind: int, *values: np.ndarray) -> np.ndarray:
@@ -100,7 +101,7 @@ def _hashed(kind: int, *values: np.ndarray) -> np.ndarray:
     for value in values:
         mixed = (mixed ^ value.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    return (mixed % np.uint64(ROWS)).astype(np.int64)
+    return (mixed & np.uint64(ROWS - 1)).astype(np.int64)
 
 
 def features(contexts: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -111,9 +112,27 @@ def features(contexts: np.ndarray, at: np.ndarray) -> np.ndarray:
     )
 
 
-def _log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    """Probabilities, in place of `scores`."""
+    scores -= scores.max(axis=1, keepdims=True)
+    np.exp(scores, out=scores)
+    scores /= scores.sum(axis=1, keepdims=True)
+    return scores
+
+
+def _log_at(scores: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Logs of the probabilities of `targets`; overwrites `scores`."""
+    scores -= scores.max(axis=1, keepdims=True)
+    found = scores[np.arange(len(targets)), targets]
+    np.exp(scores, out=scores)
+    return found - np.log(scores.sum(axis=1))
+
+
+def _sum_of_rows(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    total = weights.take(rows[:, 0], axis=0)
+    for i in range(1, FEATURES):
+        total += weights.take(rows[:, i], axis=0)
+    return total
 
 
 def _sum_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -141,28 +160,26 @@ class Model:
         self.weights = weights
 
     def _classes(self, rows: np.ndarray) -> np.ndarray:
-        scores = self.weights[rows[:, 0]]
-        for i in range(1, FEATURES):
-            scores = scores + self.weights[rows[:, i]]
-        return _log_softmax(scores + self.vocabulary.class_offsets)
+        scores = _sum_of_rows(self.weights, rows)
+        scores += self.vocabulary.class_offsets
+        return scores
 
     def _words(self, rows: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        of_class = (rows * 31 + classes[:, None] * 7919) % ROWS + ROWS
-        scores = self.weights[of_class[:, 0]]
-        for i in range(1, FEATURES):
-            scores = scores + self.weights[of_class[:, i]]
-        return _log_softmax(scores + self.vocabulary.word_offsets[classes]), of_class
+        of_class = ((rows * 31 + classes[:, None] * 7919) & (ROWS - 1)) + ROWS
+        scores = _sum_of_rows(self.weights, of_class)
+        scores += self.vocabulary.word_offsets.take(classes, axis=0)
+        return scores, of_class
 
     def score(self, ids: np.ndarray, contexts: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each modelled word, or of the class of others."""
         rows = features(contexts, at)
         target = ids[at]
         classes = self.vocabulary.classes[target]
-        found = self._classes(rows)[np.arange(len(at)), classes].astype(np.float64)
+        found = _log_at(self._classes(rows), classes).astype(np.float64)
         own = np.flatnonzero(target < self.vocabulary.modelled)
         if len(own):
             words, _ = self._words(rows[own], classes[own])
-            found[own] += words[np.arange(len(own)), target[own] % WORDS]
+            found[own] += _log_at(words, target[own] % WORDS)
         return found
 
     def learn(
@@ -172,14 +189,14 @@ class Model:
         rows = features(contexts, at)
         target = ids[at]
         classes = self.vocabulary.classes[target]
-        missed = -np.exp(self._classes(rows))
-        missed[np.arange(len(at)), classes] += 1
+        missed = _softmax(self._classes(rows))
+        missed[np.arange(len(at)), classes] -= 1
         changes = [(rows, missed)]
         own = np.flatnonzero(target < self.vocabulary.modelled)
         if len(own):
             words, of_class = self._words(rows[own], classes[own])
-            missed = -np.exp(words)
-            missed[np.arange(len(own)), target[own] % WORDS] += 1
+            missed = _softmax(words)
+            missed[np.arange(len(own)), target[own] % WORDS] -= 1
             changes.append((of_class, missed))
         for rows, missed in changes:
             # Short integers are sorted by radix.
@@ -187,9 +204,10 @@ class Model:
             order = np.argsort(flat, kind="stable")
             starts = np.flatnonzero(np.diff(flat[order].astype(np.int64), prepend=-1))
             touched = flat[order[starts]]
-            step = _sum_runs(missed[order // FEATURES], starts)
-            squares[touched] += np.square(step).mean(axis=1)
-            self.weights[touched] += RATE * step / np.sqrt(squares[touched, None] + CAUTION)
+            step = _sum_runs(missed.take(order // FEATURES, axis=0), starts)
+            squares[touched] += np.einsum("ij,ij->i", step, step) / step.shape[1]
+            step *= RATE / np.sqrt(squares[touched, None] + CAUTION)
+            self.weights[touched] -= step
 
 
 def _split(text: bytes) -> list[bytes]:
@@ -320,8 +338,9 @@ def _scorer(model: Model):
             for _, texts in _in_chunks(batch, "text"):
                 for values, found in zip(columns, _score(texts), strict=True):
                     values.extend(found)
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), _TAIL]
-            arrays = [pa.array(v, k) for v, k in zip(columns, kinds, strict=True)]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            arrays = [pa.array(v, k) for v, k in zip(columns[:4], kinds, strict=True)]
+            arrays.append(_pairs(columns[4]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], *arrays],
                 names=["doc_id", "hash1", "hash2", "n_tokens", "n_known", "base", "model", "tail"],
@@ -342,21 +361,25 @@ def _scorer(model: Model):
         values[2] = np.where(other, plus_one[ids] - in_rest[vocabulary.classes[ids]], 0)
         starts = np.append(0, ends[:-1])
         sums = np.add.reduceat(values, starts, axis=1)
-        rare = [
-            list(Counter(w for w in found if w not in vocabulary.ids).items()) for found in words
-        ]
+        rare = [Counter([w for w in found if w not in vocabulary.ids]) for found in words]
         return (
             [len(w) + 1 for w in words],
             np.add.reduceat(known, starts).tolist(),
             sums[1].tolist(),
             (sums[0] + sums[2]).tolist(),
-            [[{"word": w, "n": n} for w, n in pairs] for pairs in rare],
+            rare,
         )
 
     return parts
 
 
-_TAIL = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+def _pairs(counters: list[Counter]) -> pa.ListArray:
+    """Each counter as a list of (word, n)."""
+    words = pa.array([w for c in counters for w in c], pa.binary())
+    numbers = pa.array([n for c in counters for n in c.values()], pa.int64())
+    ends = np.cumsum([0, *map(len, counters)], dtype=np.int32)
+    pairs = pa.StructArray.from_arrays([words, numbers], ["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(ends), pairs)
 
 
 def lm_scores(docs: DataFrame, training: Column) -> DataFrame:
