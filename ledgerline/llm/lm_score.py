@@ -31,7 +31,7 @@ ROUNDS = 2
 RATE, CAUTION = 0.3, 3.0
 BATCH = 4096
 # Rows of a batch with more equal features than that are summed one feature at a time.
-LONG_RUN = 24
+LONG_RUN = 8
 # Tokens scored at once, and different words counted before they are passed on.
 CHUNK, MOST_COUNTED = 1 << 16, 500_000
 # Rows of weights that are summed together, and learners summed in one step.
@@ -135,16 +135,17 @@ def _sum_of_rows(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return total
 
 
-def _sum_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of the rows of `values` from each start to the next: a faster add.reduceat."""
-    lengths = np.diff(starts, append=len(values))
-    sums = values[starts]
+def _sum_runs(values: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of the rows of values[order] from each start to the next."""
+    lengths = np.diff(starts, append=len(order))
+    sums = values.take(order[starts], axis=0)
     for run in np.flatnonzero(lengths > LONG_RUN):
-        sums[run] = values[starts[run] : starts[run] + lengths[run]].sum(axis=0)
+        own = order[starts[run] : starts[run] + lengths[run]]
+        sums[run] = np.add.reduce(values.take(own, axis=0), axis=0)
     short = np.flatnonzero((lengths > 1) & (lengths <= LONG_RUN))
     nth = 1
     while len(short):
-        sums[short] += values[starts[short] + nth]
+        sums[short] += values.take(order[starts[short] + nth], axis=0)
         nth += 1
         short = short[lengths[short] > nth]
     return sums
@@ -204,7 +205,7 @@ class Model:
             order = np.argsort(flat, kind="stable")
             starts = np.flatnonzero(np.diff(flat[order].astype(np.int64), prepend=-1))
             touched = flat[order[starts]]
-            step = _sum_runs(missed.take(order // FEATURES, axis=0), starts)
+            step = _sum_runs(missed, order // FEATURES, starts)
             squares[touched] += np.einsum("ij,ij->i", step, step) / step.shape[1]
             step *= RATE / np.sqrt(squares[touched, None] + CAUTION)
             self.weights[touched] -= step
