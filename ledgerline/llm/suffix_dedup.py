@@ -28,6 +28,9 @@ KEY = WIDTH + 1 + LEFT + 1
 GROUP_BYTES = 8 << 20
 CHUNK = 1 << 20
 PART_BYTES = 12 << 20
+# Lists or runs that are in memory together, and tasks that a shuffle is dealt to.
+FAN = 4096
+TASKS = 20_000
 
 _HASH_BITS = np.uint64((1 << 40) - 1)
 _NO_DOC = np.iinfo(np.int64).max
@@ -225,25 +228,49 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
 
 
-def _repeated_hashes(table: pa.Table) -> pa.Table:
-    """The hashes of one part that several documents have, for each group that has them."""
-    part = table.column("part")[0].as_py()
-    gids = table.column("gid").to_pylist()
+def _joined(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The lists of hashes; all their hashes, and whether several documents have them."""
     lists = [_unpack(x.as_py()) for x in table.column("hashes")]
     many = [
         np.unpackbits(np.frombuffer(m.as_py(), np.uint8), count=len(h)).astype(bool)
         for m, h in zip(table.column("many"), lists, strict=True)
     ]
     values, counts = np.unique(np.concatenate(lists), return_counts=True)
-    again = np.union1d(values[counts > 1], np.concatenate([h[m] for h, m in zip(lists, many, strict=True)]))
+    known = np.concatenate([h[m] for h, m in zip(lists, many, strict=True)])
+    return lists, values, (counts > 1) | np.isin(values, known)
+
+
+def _join_hashes(table: pa.Table) -> pa.Table:
+    """The lists of a block of groups as one."""
+    _, values, many = _joined(table)
+    part, block = (table.column(c)[0].as_py() for c in ("part", "block"))
+    return _rows(_SEEN.names, [(part, block, _pack(values), np.packbits(many).tobytes())], _SEEN)
+
+
+def _repeated_of(table: pa.Table, lists: list[np.ndarray], again: np.ndarray) -> pa.Table:
+    part = table.column("part")[0].as_py()
     rows = []
-    for gid, hashes in zip(gids, lists, strict=True):
+    for gid, hashes in zip(table.column("gid").to_pylist(), lists, strict=True):
         own = np.intersect1d(hashes, again, assume_unique=True)
         if len(own):
             rows.append((part, gid, _pack(own), b""))
     return _rows(_SEEN.names, rows, _SEEN)
 
 
+def _repeated_hashes(table: pa.Table) -> pa.Table:
+    """The hashes of one part that several documents have, for each group that has them."""
+    lists, values, many = _joined(table)
+    return _repeated_of(table, lists, values[many])
+
+
+def _pass_hashes(table: pa.Table, repeated: pa.Table) -> pa.Table:
+    """What is known of a block's hashes, for each of its groups."""
+    if not repeated.num_rows:
+        return _rows(_SEEN.names, [], _SEEN)
+    lists = [_unpack(x.as_py()) for x in table.column("hashes")]
+    return _repeated_of(table, lists, _unpack(repeated.column("hashes")[0].as_py()))
+
+
 def _repeated_anchors(docs: pa.Table, repeated: pa.Table) -> tuple[_Anchors, list[bytes], np.ndarray]:
     texts, numbers = _texts(docs)
     anchors = _Anchors(texts)
@@ -267,14 +294,17 @@ def _sorted_runs(parts: int):
         rows = []
         for p in np.unique(part):
             own = np.flatnonzero(part == p)
-            common = _common(keys[own])
-            tails = keys[own][np.arange(KEY) >= common[:, None]].tobytes()
-            rows.append((int(p), gid, common.astype(np.uint8).tobytes(), tails, least[own].tobytes()))
+            rows.append((int(p), gid, *_front_coded(keys[own], _common(keys[own])), least[own].tobytes()))
         return _rows(_RUN.names, rows, _RUN)
 
     return compute
 
 
+def _front_coded(keys: np.ndarray, common: np.ndarray) -> tuple[bytes, bytes]:
+    """Bytes in common with the key before, and the rest of each key."""
+    return common.astype(np.uint8).tobytes(), keys[np.arange(KEY) >= common[:, None]].tobytes()
+
+
 def _read_run(common: bytes, tails: bytes) -> Iterator[tuple[int, bytes]]:
     key, at = b"", 0
     for length in common:
@@ -339,46 +369,87 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, i
             node >>= 1
 
 
+class _Merged:
+    """Distinct keys of several runs in order, with their smallest documents."""
+
+    def __init__(self, table: pa.Table):
+        self.part = table.column("part")[0].as_py()
+        self.gids = table.column("gid").to_pylist()
+        columns = (table.column(c).to_pylist() for c in ("common", "tails", "least"))
+        common, tails, least = columns
+        least = [np.frombuffer(x, np.int64) for x in least]
+        number = np.empty(sum(map(len, least)), np.int32)
+        shared = np.empty(len(number), np.uint8)
+        distinct = bytearray()
+        for i, (run, same, key) in enumerate(merge_runs([_read_run(*x) for x in zip(common, tails, strict=True)])):
+            number[i], shared[i] = run, same
+            if same < KEY or not i:
+                distinct += key
+        new = shared < KEY
+        new[:1] = True
+        which = np.cumsum(new) - 1
+        self.keys = np.frombuffer(bytes(distinct), np.uint8).reshape(-1, KEY)
+        self.shared = shared[new].astype(np.int64)
+        # Keys of one run come out in its order.
+        order = np.argsort(number, kind="stable")
+        self.lowest = np.full(len(self.keys), _NO_DOC)
+        np.minimum.at(self.lowest, which[order], np.concatenate(least))
+        # For each run, the places of its keys among all.
+        self.places = np.split(which[order], np.cumsum([len(x) for x in least])[:-1])
+
+    def answers(self, lowest: np.ndarray, mixed: np.ndarray, rows: np.ndarray) -> pa.Table:
+        """What is known of the keys, for each run in the order of its own."""
+        slot = np.full(len(self.keys), -1, np.int64)
+        slot[mixed] = np.arange(len(mixed))
+        out = []
+        for gid, classes in zip(self.gids, self.places, strict=True):
+            own = np.flatnonzero(slot[classes] >= 0)
+            found = (lowest[classes], own.astype(np.int64), rows[slot[classes[own]]])
+            out.append((gid, self.part, *(x.tobytes() for x in found)))
+        return _rows(_FOUND.names, out, _FOUND)
+
+
+def _merge_block(table: pa.Table) -> pa.Table:
+    """The runs of a block of groups as one."""
+    merged = _Merged(table)
+    block = table.column("block")[0].as_py()
+    run = (merged.part, block, *_front_coded(merged.keys, merged.shared), merged.lowest.tobytes())
+    return _rows(_RUN.names, [run], _RUN)
+
+
 def _merge_part(table: pa.Table) -> pa.Table:
-    """The smallest document of every string of one part, for the groups that have it."""
-    part = table.column("part")[0].as_py()
-    gids = table.column("gid").to_pylist()
-    columns = (table.column(c).to_pylist() for c in ("common", "tails", "least"))
-    common, tails, least = columns
-    least = [np.frombuffer(x, np.int64) for x in least]
-    number = np.empty(sum(map(len, least)), np.int32)
-    shared = np.empty(len(number), np.uint8)
-    distinct = bytearray()
-    for i, (run, same, key) in enumerate(merge_runs([_read_run(*x) for x in zip(common, tails, strict=True)])):
-        number[i], shared[i] = run, same
-        if same < KEY or not i:
-            distinct += key
-    new = shared < KEY
-    new[:1] = True
-    which = np.cumsum(new) - 1
-    keys = np.frombuffer(bytes(distinct), np.uint8).reshape(-1, KEY)
-    # Keys of one run come out in its order.
-    order = np.argsort(number, kind="stable")
-    lowest = np.full(len(keys), _NO_DOC)
-    np.minimum.at(lowest, which[order], np.concatenate(least))
-    mixed, rows = _by_string(keys, shared[new].astype(np.int64), lowest)
-    slot = np.full(len(keys), -1, np.int64)
-    slot[mixed] = np.arange(len(mixed))
-    out, at = [], 0
-    for gid, own in zip(gids, least, strict=True):
-        classes = which[order[at : at + len(own)]]
-        at += len(own)
-        places = np.flatnonzero(slot[classes] >= 0)
-        out.append(
-            (
-                gid,
-                part,
-                lowest[classes].tobytes(),
-                places.astype(np.int64).tobytes(),
-                rows[slot[classes[places]]].tobytes(),
-            )
-        )
-    return _rows(_FOUND.names, out, _FOUND)
+    """The smallest document of every string of one part, for each run that has it."""
+    merged = _Merged(table)
+    mixed, rows = _by_string(merged.keys, merged.shared, merged.lowest)
+    return merged.answers(merged.lowest, mixed, rows)
+
+
+def _pass_found(table: pa.Table, found: pa.Table) -> pa.Table:
+    """What is known of a block's strings, for each of its groups."""
+    lowest, mixed, rows = (
+        np.frombuffer(found.column(c)[0].as_py(), np.int64) for c in ("least", "mixed", "rows")
+    )
+    return _Merged(table).answers(lowest, mixed, rows.reshape(-1, LEFT + 1))
+
+
+def _dealt(rows: DataFrame, number: int, *keys: str) -> DataFrame:
+    return rows.repartition(min(number, TASKS), *keys)
+
+
+def _of_parts(lists: DataFrame, groups: int, parts: int, up, top, down, made: str, answer: str) -> DataFrame:
+    """`top` of each part's lists, one per group, FAN of them in one place at most.
+
+    With more groups than that, `up` makes one list of those of a block of groups, and
+    `down` takes what is answered to a block back to its groups.
+    """
+    if groups <= FAN:
+        return _dealt(lists, parts, "part").groupBy("part").applyInArrow(top, answer)
+    blocks = groups // FAN + 1
+    blocked = lists.withColumn("block", F.expr(f"gid div {FAN}"))
+    blocked = _dealt(blocked, parts * blocks, "part", "block").groupBy("part", "block")
+    answers = _of_parts(blocked.applyInArrow(up, made), blocks, parts, up, top, down, made, answer)
+    answers = _dealt(answers, parts * blocks, "part", "gid").groupBy("part", "gid")
+    return blocked.cogroup(answers).applyInArrow(down, answer)
 
 
 def _by_string(keys: np.ndarray, shared: np.ndarray, lowest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -478,41 +549,52 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     bytes that covers it also starts in a document with a smaller doc_id; strings are
     those of the input and never cross documents.
 
-    doc_id must be integral. A null one is smaller than all others; rows with one
-    doc_id do not repeat each other. Null texts are empty, texts under WIDTH bytes
-    stay whole. Other columns are not looked at. No row is lost, an empty table gives
-    none.
-
-    Documents are dealt into groups by a hash of doc_id. Each group lists the hashes
-    of its anchors; those that several documents have are sent back. The suffixes at
-    such anchors are sorted within the group and sent to their part as a front-coded
-    run, with the smallest document of each distinct one. Parts merge their runs and
-    answer with the smallest document of each string. Copies are one key per group,
-    so a string that very many documents have is no more than a key from each group.
+    doc_id must be integral, else a TypeError is raised. A null one is smaller than all
+    others; rows with one doc_id do not repeat each other. Null texts are empty, texts
+    under WIDTH bytes stay whole. Other columns are not looked at. No row is lost, an
+    empty table gives none.
+
+    Documents are dealt into groups by a hash of doc_id and text, so rows without a
+    doc_id are in all groups; only rows equal in both stay together. Each group lists
+    the hashes of its anchors; those that several documents have are sent back. The
+    suffixes at such anchors are sorted within the group and sent to their part as a
+    front-coded run, with the smallest document of each distinct one. Parts merge their
+    runs and answer with the smallest document of each string. A part is a range of the
+    hash of a suffix's first GRAM bytes, not of the suffixes: all that may share WIDTH
+    bytes meet, and common beginnings make no part large.
+
+    Copies are one key per group, and runs of more than FAN groups are merged in levels,
+    so a string that every group has is FAN keys in one place, not one for each group.
     """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}
+    if kind not in ids:
+        raise TypeError(f"doc_id must be integral, not {kind}")
     rows = docs.select("doc_id", whole(F.col("text")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups, parts = total // GROUP_BYTES + 1, total // PART_BYTES + 1
     least = F.lit(np.iinfo(np.int64).min)
     rows = rows.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("gid"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("gid"),
         "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), least).alias("number"),
         "text",
     )
-    grouped = rows.groupBy("gid")
+    grouped = _dealt(rows, groups, "gid").groupBy("gid")
     seen = grouped.applyInArrow(_list_hashes(parts), _sql(_SEEN))
-    repeated = seen.groupBy("part").applyInArrow(_repeated_hashes, _sql(_SEEN))
-    runs = grouped.cogroup(repeated.groupBy("gid")).applyInArrow(_sorted_runs(parts), _sql(_RUN))
-    found = runs.groupBy("part").applyInArrow(_merge_part, _sql(_FOUND))
+    steps = (_join_hashes, _repeated_hashes, _pass_hashes, _sql(_SEEN), _sql(_SEEN))
+    repeated = _of_parts(seen, groups, parts, *steps)
+    of_group = _dealt(repeated, groups, "gid").groupBy("gid")
+    runs = grouped.cogroup(of_group).applyInArrow(_sorted_runs(parts), _sql(_RUN))
+    steps = (_merge_block, _merge_part, _pass_found, _sql(_RUN), _sql(_FOUND))
+    found = _of_parts(runs, groups, parts, *steps)
     # Both lists that go back to a group, in one table.
     both = repeated.select(
         "gid", "part", "hashes", *(F.lit(None).cast("binary").alias(c) for c in ("least", "mixed", "rows"))
     ).union(found.select("gid", "part", F.lit(None).cast("binary"), "least", "mixed", "rows"))
-    kind = docs.schema["doc_id"].dataType
     schema = pa.schema(
         [
-            ("doc_id", {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}[kind.simpleString()]),
+            ("doc_id", ids[kind]),
             ("n_bytes", pa.int64()),
             ("n_removed", pa.int64()),
             ("n_spans", pa.int64()),
@@ -527,8 +609,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         of_hashes = lists.column("hashes").is_valid()
         return cut(docs, lists.filter(of_hashes), lists.filter(pa.compute.invert(of_hashes)))
 
-    kinds = f"doc_id {kind.simpleString()}, n_bytes long, n_removed long, n_spans long, kept binary"
-    return grouped.cogroup(both.groupBy("gid")).applyInArrow(last, kinds)
+    kinds = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
+    return grouped.cogroup(_dealt(both, groups, "gid").groupBy("gid")).applyInArrow(last, kinds)
 
 
 def query(spark, sf_dir) -> DataFrame:

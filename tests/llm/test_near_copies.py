@@ -5,8 +5,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerline.llm import simhash, suffix_dedup
 from ledgerline.llm.components import connected_components
@@ -125,10 +127,11 @@ def _plain_repeats(rows):
     return Counter(result)
 
 
-@pytest.mark.parametrize("sizes", [(8 << 20, 12 << 20), (3_000, 5_000)])
+@pytest.mark.parametrize("sizes", [(8 << 20, 12 << 20, 4096), (3_000, 5_000, 4096), (1_000, 9_000, 3)])
 def test_repeated_bytes_equal_brute_force(spark, edge_docs, no_docs, monkeypatch, sizes):
     monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", sizes[0])
     monkeypatch.setattr(suffix_dedup, "PART_BYTES", sizes[1])
+    monkeypatch.setattr(suffix_dedup, "FAN", sizes[2])
     rng = random.Random(9)
     passages = ["".join(rng.choices("abc é\n", k=rng.randint(45, 130))) for _ in range(12)]
     rows = []
@@ -148,6 +151,44 @@ def test_repeated_bytes_equal_brute_force(spark, edge_docs, no_docs, monkeypatch
         assert all(r.n_bytes == r.n_removed + len(r.kept) for r in edge)
 
 
+def test_no_place_sees_more_lists_than_the_fan(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "FAN", 4)
+    lists = spark.range(100).selectExpr("id AS gid", "0L AS part", "1L AS many")
+
+    def few(table):
+        assert table.num_rows <= 4
+        return table
+
+    def up(table):
+        many = sum(few(table).column("many").to_pylist())
+        return pa.table({"gid": table.column("block")[:1], "part": [0], "many": [many]})
+
+    def top(table):
+        many = sum(few(table).column("many").to_pylist())
+        return pa.table({"gid": table.column("gid"), "part": [0] * table.num_rows, "many": [many] * table.num_rows})
+
+    def down(table, answer):
+        assert answer.num_rows == 1
+        again = answer.column("many").to_pylist() * few(table).num_rows
+        return pa.table({"gid": table.column("gid"), "part": [0] * table.num_rows, "many": again})
+
+    kinds = "gid long, part long, many long"
+    found = suffix_dedup._of_parts(lists, 100, 1, up, top, down, kinds, kinds).collect()
+    assert sorted((r.gid, r.many) for r in found) == [(i, 100) for i in range(100)]
+
+
+def test_repeats_without_doc_ids_and_with_other_ids(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 500)
+    line = "a line that is longer than fifty bytes, and that stands in all documents"
+    rows = [(None, f"{i} {line}", "a") for i in range(40)] + [(5, line, "a"), (6, line, None)]
+    found = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
+    removed = Counter((r.doc_id, r.n_removed) for r in found)
+    # A missing doc_id is the smallest: what has none keeps all.
+    assert removed == {(None, 0): 40, (5, len(line)): 1, (6, len(line)): 1}
+    with pytest.raises(TypeError, match="integral"):
+        suffix_dedup.remove_repeats(documents(spark, rows).withColumn("doc_id", F.lit("x")))
+
+
 def test_merge_of_runs_sorts_and_tells_common_prefixes():
     rng = random.Random(4)
     width = suffix_dedup.KEY
