@@ -19,8 +19,9 @@ LEAST_SCORE = 0.6
 # Least overlap of the question and of the answer.
 LEAST_OVERLAP = 0.8
 SHINGLE = 5
-# Items of one index. A larger benchmark has several, each asked by all passages.
+# Items of one index, and bytes of their texts. A larger benchmark has several, each asked by all passages.
 INDEX_ITEMS = 8192
+INDEX_BYTES = 16 << 20
 # Postings of a block, and groups of items in the first, rough bound.
 BLOCK = 16
 GROUPS = 32
@@ -239,6 +240,7 @@ def contaminated(
     least_score: float = LEAST_SCORE,
     least_overlap: float = LEAST_OVERLAP,
     index_items: int = INDEX_ITEMS,
+    index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
     """One row per document and benchmark item that it holds.
 
@@ -248,8 +250,10 @@ def contaminated(
     of the items; what scores `least_score` or more is kept if question and answer
     overlap by `least_overlap` or more. Of several passages the best counts.
 
-    The index of up to `index_items` items goes to all tasks; a larger benchmark is
-    cut into as many indexes as that needs, each of which sees all documents.
+    An index of about `index_items` items, and `index_bytes` of their texts, goes to all
+    tasks. A larger benchmark is cut into as many indexes as that needs, by a hash of the
+    item. Each sees all documents, and its results are stored before the next is made, so
+    the driver holds one index at a time.
 
     Null texts are empty; items without words are in no document. A null doc_id or
     item_id is kept as it is. Rows that repeat a doc_id each count, equal ones give
@@ -262,7 +266,7 @@ def contaminated(
     numbered = items.withColumn("key", F.xxhash64("item_id", "text"))
     stored = pin(numbered)
     postings = pin(weights(stored.df.select(F.col("key").alias("item_id"), "text"))).df
-    parts = -(-stored.rows // index_items)
+    parts = max(-(-stored.rows // index_items), -(-stored.bytes // index_bytes))
     rows = docs.select("doc_id", whole(F.col("text")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -280,7 +284,7 @@ def contaminated(
             for row in postings.where(F.pmod("item_id", F.lit(parts)) == part).collect()
         ]
         index = ([row.key for row in own], entries, [(tokens(r.text), answer_start(r.text)) for r in own])
-        found = found.union(rows.mapInArrow(_search(index, least_score, least_overlap), schema))
+        found = found.union(pin(rows.mapInArrow(_search(index, least_score, least_overlap), schema)).df)
     best = found.groupBy("doc_id", "text_hash", "key").agg(
         F.max(F.struct("score", "question_overlap", "answer_overlap", -F.col("passage"))).alias("best")
     )

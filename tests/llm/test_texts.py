@@ -320,14 +320,14 @@ def _leak_rows(items):
     return rows, wanted
 
 
-@pytest.mark.parametrize("index_items", [8192, 5])
-def test_leaks_equal_what_was_planted(spark, edge_docs, no_docs, index_items):
+@pytest.mark.parametrize("index_items, index_bytes", [(8192, 1 << 24), (5, 1 << 24), (8192, 500)])
+def test_leaks_equal_what_was_planted(spark, edge_docs, no_docs, index_items, index_bytes):
     rng = random.Random(11)
     words = ["".join(rng.choices("klmnopqrst", k=5)) for _ in range(400)]
     items = [(n, " ".join(rng.choices(words, k=rng.randint(12, 40))) + "? " + " ".join(rng.choices(words, k=6))) for n in range(20)]
     rows, wanted = _leak_rows(items)
     bench = spark.createDataFrame([*items, (77, None), (78, ""), (None, "zz yy xx ww vv uu tt")], "item_id long, text string")
-    found = decontamination.contaminated(documents(spark, rows), bench, index_items=index_items).collect()
+    found = decontamination.contaminated(documents(spark, rows), bench, index_items=index_items, index_bytes=index_bytes).collect()
     assert {(r.doc_id, r.item_id) for r in found} == wanted
     if index_items == 5:
         assert decontamination.contaminated(no_docs, bench).isEmpty()
