@@ -227,8 +227,14 @@ def fit(
     trees = trees.fit(own)
     calibration = None
     if _both_kinds(rest):
-        curve = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="toxicity")
-        calibration = curve.fit(_with_margin(trees, rest).select("margin", "label"))
+        curve = IsotonicRegression(
+            featuresCol="margin", labelCol="label", weightCol="rows", predictionCol="toxicity"
+        )
+        # Equal margins, as copies have, are one weighted point.
+        points = _with_margin(trees, rest).groupBy("margin")
+        calibration = curve.fit(
+            points.agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("rows"))
+        )
     return ToxicityModel(weights, trees, calibration, share)
 
 
