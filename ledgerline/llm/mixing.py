@@ -1,11 +1,11 @@
 """Sources mixed to target weights, within a number of epochs."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.pinning import pin
 from ledgerline.llm.common import WORD, documents, replace_columns, running_total, whole
-from ledgerline.llm.sharding import shuffle_key
+from ledgerline.llm.sharding import shuffle_bucket, shuffle_key
 
 # Of the contract: weights by the order of sources, the share of all words that
 # the mix is to have, and the times a source may be used.
@@ -22,9 +22,14 @@ def word_count(text) -> F.Column:
 
 def cyclic_weights(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """Add `weight`: the weights in turn, by code point order of sources, null last."""
-    place = F.row_number().over(Window.orderBy(*SOURCE)) - 1
-    which = F.element_at(F.array(*map(F.lit, weights)), F.pmod(place, F.lit(len(weights))) + 1)
-    return sources.withColumn("weight", which.cast("double"))
+    # Ranges of sources are numbered apart: no task orders all of them.
+    ranges = pin(
+        sources.repartitionByRange(*SOURCE).select("*", F.spark_partition_id().alias("range"), F.lit(1).alias("one"))
+    )
+    placed = running_total(ranges.df, ["one"], "range", SOURCE, F.lit(1))
+    place = F.pmod(F.col("before"), F.lit(len(weights))) + 1
+    which = F.element_at(F.array(*map(F.lit, weights)), place.cast("int"))
+    return placed.withColumn("weight", which.cast("double")).drop("one", "range", "before")
 
 
 def water_fill(sources: DataFrame, total: float) -> DataFrame:
@@ -77,7 +82,8 @@ def mix(
     size is, so a source's words differ from its target by half a row at most.
 
     Needs doc_id and source. Null is a source of its own. Rows with equal doc_id
-    are ordered by size and then alike. A source without words gets target 0 and
+    are ordered by size and then alike; those without one are dealt to buckets by size
+    too. A source without words gets target 0 and
     no copy. Columns of `docs` with the names of new ones give way. Every row
     comes back, an empty table gives none.
     """
@@ -87,7 +93,7 @@ def mix(
         whole(F.col("source")).alias("source_name"),
         F.col(size).alias("words"),
         shuffle_key(seed).alias("key"),
-    ).withColumn("bucket", F.substring("key", 1, 3))
+    ).withColumn("bucket", shuffle_bucket(seed, F.floor(F.log1p("words") * 64)))
     sizes = packed.groupBy(*SOURCE).agg(F.sum("words").alias("source_size"))
     sources = pin(
         weights(sizes).withColumn("cap", F.col("source_size") * F.lit(float(epochs)))

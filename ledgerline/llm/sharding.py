@@ -15,6 +15,18 @@ def shuffle_key(seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
 
 
+def shuffle_bucket(seed: int, tie: Column) -> Column:
+    """Coarser steps of the order by `key` and a tie, of which `tie` is a step under 10,000.
+
+    Rows without doc_id have one key. They lie in steps of their own, by `tie`.
+    """
+    key, none, start = F.col("key"), F.md5(F.lit(f"{seed}:")), F.substring("key", 1, 3)
+    steps = F.concat(start, F.lit("1"), F.lpad(tie.cast("string"), 4, "0"))
+    return F.when(key < none, F.concat(start, F.lit("0"))).otherwise(
+        F.when(key > none, F.concat(start, F.lit("2"))).otherwise(steps)
+    )
+
+
 def unit(text: Column) -> Column:
     """A number from 0 to under 1 that depends on the text alone."""
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / 2.0**32
@@ -30,8 +42,9 @@ def interleave(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
     number a shard's rows from 0 in that order.
 
     Needs doc_id, source and text. Null sources are a source of their own. A null
-    or repeated doc_id is allowed: ties are ordered by text. Columns of `docs`
-    called shard or slot give way. No row is lost, an empty table gives none.
+    or repeated doc_id is allowed: ties are ordered by text. Rows without doc_id are
+    dealt to buckets by their text; rows that repeat a doc_id lie in one bucket. Columns
+    of `docs` called shard or slot give way. No row is lost, an empty table gives none.
 
     Nothing is ordered as a whole: ranks come from windows over buckets of the
     shuffle key within a source, and over steps of the fractional rank, with
@@ -43,7 +56,7 @@ def interleave(docs: DataFrame, shards: int = 40, seed: int = 7) -> DataFrame:
         whole(F.col("source")).alias("stratum"),
         shuffle_key(seed).alias("key"),
         F.crc32(whole(F.col("text")).cast("binary")).alias("tie"),
-    ).withColumn("bucket", F.substring("key", 1, 3))
+    ).withColumn("bucket", shuffle_bucket(seed, F.shiftright("tie", 20)))
     strata = ["no_source", "stratum"]
     sizes = pin(packed.groupBy(*strata).agg(F.count(F.lit(1)).alias("of")))
     total = sizes.df.agg(F.coalesce(F.sum("of"), F.lit(0))).first()[0]

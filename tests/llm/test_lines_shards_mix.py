@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import line_dedup, mixing, sharding
 from tests.llm.conftest import SF, documents, random_rows
@@ -112,6 +113,34 @@ def test_sharding_query_and_files(spark, tmp_path):
     assert back.count() == docs.count() and back.select("shard").distinct().count() == 3
 
 
+def test_rows_without_doc_id_are_dealt_out_in_the_order_of_a_plain_sort(spark):
+    rows = [(None if i % 3 else i, "w " * (i % 200) + str(i % 450), "a") for i in range(900)]
+    docs = documents(spark, rows).withColumn("size", mixing.word_count("text"))
+    for seed, tie, step in (
+        (7, F.crc32("text"), lambda c: F.shiftright(c, 20)),
+        (11, F.col("size"), lambda c: F.floor(F.log1p(c) * 64)),
+    ):
+        keyed = docs.select(sharding.shuffle_key(seed).alias("key"), tie.alias("tie"))
+        keyed = keyed.withColumn("bucket", sharding.shuffle_bucket(seed, step(F.col("tie"))))
+        found = sorted((r.bucket, r.key, r.tie) for r in keyed.collect())
+        assert [r[1:] for r in found] == sorted(r[1:] for r in found)
+        none = Counter(r[0] for r in found if r[1] == hashlib.md5(f"{seed}:".encode()).hexdigest())
+        assert sum(none.values()) == 600 and max(none.values()) <= 100
+    out = sharding.interleave(docs, shards=9, seed=3).collect()
+    _check_shards(rows, out, 9)
+
+
+def test_sources_are_weighed_by_place_in_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        names = [f"s{i:03}" for i in range(300)] + [""]
+        sources = spark.createDataFrame([(n is None, n or "", 1) for n in [*names, None]], "no_source boolean, source_name string, source_size long")
+        found = {(r.no_source, r.source_name): r.weight for r in mixing.cyclic_weights(sources.repartition(4)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {k: (3.0, 1.0, 2.0)[i % 3] for i, k in enumerate(sorted(found))} and len(found) == 302
+
+
 def _plain_fill(weights, caps, total):
     target, clamped = {}, set()
     while True:
