@@ -559,9 +559,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     the hashes of its anchors; those that several documents have are sent back. The
     suffixes at such anchors are sorted within the group and sent to their part as a
     front-coded run, with the smallest document of each distinct one. Parts merge their
-    runs and answer with the smallest document of each string. A part is a range of the
-    hash of a suffix's first GRAM bytes, not of the suffixes: all that may share WIDTH
-    bytes meet, and common beginnings make no part large.
+    runs and answer with the smallest document of each string. A part is
+    chosen by a hash of a suffix's first GRAM bytes, not by splitters of the suffixes: what
+    shares GRAM bytes meets, and parts have no order among each other.
 
     Copies are one key per group, and runs of more than FAN groups are merged in levels,
     so a string that every group has is FAN keys in one place, not one for each group.
